@@ -18,25 +18,28 @@ class Rule(NamedTuple):
     failed: Column
 
 
-def with_first_failure(df: DataFrame, rules: list[Rule], output: list[Column]) -> DataFrame:
-    """``output`` plus the column and reason of the first rule each row fails.
-
-    The rules become one CASE giving a small integer, which indexes two constant
-    arrays; rows that pass have NULL in both columns.
-    """
-    if not rules:
-        return df.select(
-            *output,
-            F.lit(None).cast("string").alias(REJECT_COLUMN),
-            F.lit(None).cast("string").alias(REJECT_REASON),
-        )
-    first = F.when(rules[0].failed, 0)
-    for i, rule in enumerate(rules[1:], 1):
+def first_failure(rules: list[Rule], offset: int = 0) -> Column:
+    """Number of the first rule that a row fails, counted from ``offset``; else NULL."""
+    first = F.when(rules[0].failed, offset)
+    for i, rule in enumerate(rules[1:], offset + 1):
         first = first.when(rule.failed, i)
+    return first
+
+
+def named_failure(number: Column, rules: list[Rule]) -> list[Column]:
+    """Column and reason behind a rule number, NULL for rows that pass."""
     columns = F.array(*[F.lit(r.column).cast("string") for r in rules])
     reasons = F.array(*[F.lit(r.reason) for r in rules])
-    return df.withColumn(_RULE, first).select(
-        *output,
-        F.get(columns, F.col(_RULE)).alias(REJECT_COLUMN),
-        F.get(reasons, F.col(_RULE)).alias(REJECT_REASON),
-    )
+    return [
+        F.get(columns, number).alias(REJECT_COLUMN),
+        F.get(reasons, number).alias(REJECT_REASON),
+    ]
+
+
+def with_first_failure(df: DataFrame, rules: list[Rule], output: list[Column]) -> DataFrame:
+    """``output`` plus the column and reason of the first rule each row fails."""
+    if not rules:
+        nothing = F.lit(None).cast("string")
+        return df.select(*output, nothing.alias(REJECT_COLUMN), nothing.alias(REJECT_REASON))
+    numbered = df.withColumn(_RULE, first_failure(rules))
+    return numbered.select(*output, *named_failure(F.col(_RULE), rules))
