@@ -96,7 +96,7 @@ def _staging(
         "isolationLevel": ISOLATION,
     }
     try:
-        numbered.write.format("jdbc").options(**options).mode("errorifexists").save()
+        _save(numbered, options)
         names = _column_list([ROW_NUMBER, *rows.columns])
         yield f"SELECT DISTINCT {names} FROM {table}"
     finally:
@@ -105,6 +105,10 @@ def _staging(
             execute(rows.sparkSession, connection, [f"DROP TABLE {table}"])
 
 
+def _save(rows: DataFrame, options: dict[str, str]) -> None:
+    rows.write.format("jdbc").options(**options).mode("errorifexists").save()
+
+
 def _column_list(columns: Sequence[str]) -> str:
     return ", ".join(quote_identifier(c) for c in columns)
 
