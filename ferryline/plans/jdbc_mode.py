@@ -42,16 +42,19 @@ def export_dir(
     num_writers: int = 1,
 ) -> dict | None:
     """Append a directory to a table, or update the table by key from it."""
-    publish = partial(append, target=target, stored=True)
     if update_keys:
         if not isinstance(target, Table) or target.connection is None:
             raise ValueError("update mode needs a warehouse table; see update_by_key for files")
-        publish = partial(
-            jdbc.update_table, connection=target.connection, table=target.name,
-            keys=list(update_keys), schema=target.schema, num_writers=num_writers,
-        )
+
+        def publish(rows: DataFrame, stored: bool) -> None:
+            jdbc.update_table(
+                rows, target.connection, target.name, list(update_keys),
+                schema=target.schema, num_writers=num_writers,
+            )
+    else:
+        publish = partial(append, target)
     if fmt in RECORD_FORMATS:
-        publish(read_records(spark, path, fmt))
+        publish(read_records(spark, path, fmt), True)
         return None
     opts = _row_wise(opts or LoadOptions())
     lines = read_lines(spark, path, opts.record_sep)

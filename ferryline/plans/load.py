@@ -7,7 +7,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +25,12 @@ from ferryline.sources.table import Table
 from ferryline.sources.text import read_lines
 
 
+#: Takes the accepted rows and whether they read a stored table.
+Publish = Callable[[DataFrame, bool], None]
+
+_REJECTED = "a line was rejected and the budget is one"
+
+
 @dataclass(frozen=True)
 class Stage:
     """Decoded lines, stored once: loadable and rejected rows in one table."""
@@ -60,19 +67,34 @@ def load_lines(
     spark: SparkSession,
     lines: DataFrame,
     schema: T.StructType,
-    publish: Callable[[DataFrame], None],
+    publish: Publish,
     opts: LoadOptions | None = None,
     *,
     location: str = "",
 ) -> dict:
-    """Stage, check the budget, then hand the accepted rows to ``publish``.
-
-    The budget covers the whole job. It is checked on what was actually stored,
-    reading one column, before the target is touched; rejects and summary are
-    written in either case.
+    """Decode, check the budget, publish the accepted rows.
+
+    The budget covers the whole job, and nothing is published beyond it. With
+    the default budget the first rejected line fails the job, so clean input is
+    read and written once. Any other budget needs the number of rejects before
+    the target is touched: the decoded lines are stored, counted by reading one
+    column of what was actually stored, and then published from there. The same
+    happens to report on input that failed the default budget. Rejects and
+    summary are written in either case.
     """
     opts = opts or LoadOptions()
     load_id = uuid.uuid4().hex
+    if opts.max_errors == 1:
+        try:
+            read = _publish_clean(lines, schema, publish, opts)
+        except PySparkException as exc:
+            if _REJECTED not in str(exc):
+                raise
+        else:
+            summary = report.summary(load_id, location, read, {}, False)
+            report.write_summary(spark, summary, opts.rejects_path)
+            return summary
+
     staged = stage(spark, lines, schema, opts)
     reasons = staged.rows.groupBy(F.col(REJECT_REASON).alias("reason"))
     counts = {r["reason"]: r["count"] for r in reasons.count().collect()}
@@ -85,7 +107,7 @@ def load_lines(
         if bad:
             report.write_rejects(staged.rejected(), opts.rejects_path, load_id)
         if not aborted:
-            publish(staged.accepted())
+            publish(staged.accepted(), True)
         report.write_summary(spark, summary, opts.rejects_path)
     finally:
         delete_path(spark, staged.path)
@@ -96,6 +118,19 @@ def load_lines(
     return summary
 
 
+def _publish_clean(
+    lines: DataFrame, schema: T.StructType, publish: Publish, opts: LoadOptions
+) -> int:
+    """Publish in one pass, failing on any rejected line; returns the rows read."""
+    counts = Observation("load")
+    decoded = decode(lines, schema, opts, observation=counts)
+    passes = F.when(F.col(REJECT_REASON).isNull(), True).otherwise(
+        F.raise_error(F.lit(_REJECTED)).cast("boolean")
+    )
+    publish(decoded.where(passes).select(*schema.names), False)
+    return counts.get["read"]
+
+
 def load(
     spark: SparkSession,
     path: str,
@@ -116,7 +151,7 @@ def load(
     schema = check_target(spark, target, schema)
     lines = read_lines(spark, path, opts.record_sep)
     return load_lines(
-        spark, lines, schema, partial(append, target=target, stored=True), opts, location=path
+        spark, lines, schema, partial(append, target), opts, location=path
     )
 
 
@@ -139,7 +174,7 @@ def load_records(
     schema = check_target(spark, target, schema)
     lines = record_lines(read_records(spark, path, fmt), opts)
     return load_lines(
-        spark, lines, schema, partial(append, target=target, stored=True), opts, location=path
+        spark, lines, schema, partial(append, target), opts, location=path
     )
 
 

@@ -19,8 +19,8 @@ class Directory:
     fmt: str = "parquet"
 
 
-def append(rows: DataFrame, target: Table | Directory, *, stored: bool = False) -> None:
-    """Append by position, all columns."""
+def append(target: Table | Directory, rows: DataFrame, stored: bool = False) -> None:
+    """Append by position, all columns; ``stored`` as in :func:`jdbc.append_table`."""
     if isinstance(target, Directory):
         rows.write.format(target.fmt).mode("append").save(target.path)
     elif target.connection is None:

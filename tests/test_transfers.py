@@ -174,11 +174,33 @@ def test_load_over_the_budget_publishes_nothing(spark, table, new_dir):
     assert spark.read.json(f"{shared}/summary").count() == 3
 
 
+def test_clean_load_reads_its_input_once(spark, table, new_dir, monkeypatch):
+    import ferryline.plans.load as plan
+
+    monkeypatch.setattr(plan, "stage", None)
+    name, shared = table("id int, val string"), new_dir("rejects")
+    path = write_lines(new_dir("in"), [f"{i},x" for i in range(100)])
+    summary = load(spark, path, Table(name), LoadOptions(rejects_path=shared))
+    assert (summary["rows_read"], summary["rows_loaded"]) == (100, 100)
+    assert spark.table(name).count() == 100
+    assert spark.read.json(f"{shared}/summary").first()["rows_read"] == 100
+    empty = load(spark, write_lines(new_dir("in"), []), Table(name))
+    assert empty["rows_read"] == 0
+
+
+def test_failed_load_leaves_no_files(spark, new_dir):
+    path, target = write_lines(new_dir("in"), ["1", "2", "x"]), new_dir("target")
+    with pytest.raises(RejectBudgetExceeded):
+        load(spark, path, Directory(target), schema=T.StructType.fromDDL("a int"))
+    assert not glob(f"{target}/**/*.parquet", recursive=True)
+
+
 def test_load_removes_its_stage(spark, new_dir):
     shared = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(shared)) if os.path.exists(shared) else set()
     path = write_lines(new_dir("in"), ["1"])
-    load(spark, path, Directory(new_dir()), schema=T.StructType.fromDDL("a int"))
+    opts = LoadOptions(max_errors=2)
+    load(spark, path, Directory(new_dir()), opts, schema=T.StructType.fromDDL("a int"))
     assert set(os.listdir(shared)) == before
 
 
