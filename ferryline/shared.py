@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="ferryline-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ferryline-{application}-")
 
 
 def new_path(spark: SparkSession, purpose: str) -> str:
