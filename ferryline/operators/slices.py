@@ -83,18 +83,22 @@ def bounds(df: DataFrame, col: str) -> DataFrame:
 
 # ------------------------------------------------------- predicates for JDBC
 
-def modulo_predicates(key: str, n: int, *, system_key: bool = False) -> list[str]:
+def modulo_predicates(
+    key: str | Sequence[str], n: int, *, system_key: bool = False
+) -> list[str]:
     """One predicate per slice.
 
-    ``system_key`` marks a locality column of the warehouse, named as is, which
-    is never NULL and never negative.
+    Several integer columns are added up before the modulo, so that the rows of
+    one hot key spread by the others. ``system_key`` marks a locality column of
+    the warehouse, named as is, which is never NULL and never negative.
     """
     _check_count(n)
     if system_key:
         return [f"MOD({key}, {n}) = {i}" for i in range(n)]
-    col = quote_identifier(key)
-    plain = [f"ABS(MOD({col}, {n})) = {i}" for i in range(n)]
-    return [f"({plain[0]} OR {col} IS NULL)", *plain[1:]]
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = [f"COALESCE(ABS(MOD({quote_identifier(k)}, {n})), 0)" for k in keys]
+    number = parts[0] if len(parts) == 1 else f"MOD({' + '.join(parts)}, {n})"
+    return [f"{number} = {i}" for i in range(n)]
 
 
 def range_predicates(key: str, lo, hi, n: int) -> list[str]:

@@ -126,7 +126,7 @@ def execute(spark: SparkSession, connection: Connection, statements: Sequence[st
         )
     conn = jvm.java.sql.DriverManager.getConnection(connection.url, props)
     try:
-        conn.setTransactionIsolation(conn.TRANSACTION_READ_COMMITTED)
+        conn.setTransactionIsolation(jvm.java.sql.Connection.TRANSACTION_READ_COMMITTED)
         conn.setAutoCommit(False)
         statement = conn.createStatement()
         for sql in statements:

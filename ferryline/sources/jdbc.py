@@ -28,7 +28,7 @@ def read_table(
     schema: str | None = None,
     columns: Sequence[str] | None = None,
     where: str | None = None,
-    slice_key: str | None = None,
+    slice_key: str | Sequence[str] | None = None,
     num_slices: int = 1,
     slicing: str = "modulo",
 ) -> DataFrame:
@@ -36,8 +36,8 @@ def read_table(
 
     ``slicing`` is ``modulo`` (any integer key), ``system`` (a locality column of
     the warehouse) or ``range`` (equal ranges between the key's bounds, which
-    are fetched once). Pick a key that spreads evenly: a modulo slice is as
-    large as its largest key.
+    are fetched once). A modulo slice is as large as its largest key, so pick one
+    that spreads, or name several columns to split the rows of a hot key.
     """
     name = qualified_name(table, schema)
     reader = {**connection.properties(), "dbtable": name}

@@ -28,7 +28,7 @@ class Table:
     connection: Connection | None = None
     columns: tuple[str, ...] | None = None
     where: str | None = None
-    slice_key: str | None = None
+    slice_key: str | tuple[str, ...] | None = None
     num_slices: int = 1
     slicing: str = "modulo"
 

@@ -34,6 +34,13 @@ def test_modulo_predicates_partition_the_table(keyed, ansi_names, n):
     assert sorted(sum(parts, [])) == list(range(len(KEYS)))
 
 
+def test_several_keys_split_a_hot_one(spark, ansi_names):
+    hot = spark.range(3000).selectExpr("id", "if(id % 3 = 0, null, 7) as k", "-id as other")
+    parts = [ids(hot.where(p)) for p in slices.modulo_predicates(["k", "other"], 8)]
+    assert sorted(sum(parts, [])) == list(range(3000))
+    assert max(map(len, parts)) < 2 * 3000 / 8
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 40])
 def test_range_predicates_partition_the_table(keyed, ansi_names, n):
     predicates = slices.range_predicates("Key", -9, 100, n)
