@@ -193,6 +193,27 @@ def test_null_token_is_compared_before_unescaping(spark):
     assert rows[0].a is None
 
 
+@pytest.mark.parametrize(
+    "ddl,token,other",
+    [("int", "0", "1"), ("decimal(5,2)", "-1", "1"), ("double", "NaN", "1"),
+     ("boolean", "false", "true"), ("date", "1970-01-01", "1970-01-02"), ("string", "7", "8")],
+)
+def test_null_tokens_that_are_values(spark, ddl, token, other):
+    opts = LoadOptions(null_string=token, null_non_string=token)
+    rows = decoded(spark, [f"{token},1", f"{other},1"], f"v {ddl}, n tinyint", opts)
+    assert [r.v is None for r in rows] == [True, False]
+    assert values(rows, "_reject_reason") == [None, None]
+
+
+def test_null_token_with_two_backslashes(spark):
+    opts = LoadOptions(null_string="\\\\\\\\N", ctrl_chars=True)
+    assert opts.null_token == "\\\\N"
+    lines = ["\\\\N,1", "\\\\N\x00,1", "\\N,1", "\x00N,1"]
+    assert values(decoded(spark, lines, "s string, n int", opts), "s") == [
+        None, "\\N\x00", "N", "\x00N"
+    ]
+
+
 def test_very_long_lines(spark):
     lines = ["\\," * 200_000 + ",1", "x" * 800_000 + "\\\\,2", "\\\\" * 100_000 + ",3"]
     rows = decoded(spark, lines, "s string, n int")
@@ -230,7 +251,7 @@ relaxed = settings(
 @given(
     rows=st.lists(st.tuples(awkward, st.none() | awkward, st.none() | st.integers(-99, 99)),
                   min_size=1, max_size=30),
-    delim=st.sampled_from([",", "|", "\t", "ž", "-", "."]),
+    delim=st.sampled_from([",", "|", "\t", "ž", "-", ".", "\x00", "\x01", "^", "]", "😀"]),
 )
 def test_round_trip(spark, rows, delim):
     df = spark.createDataFrame(rows, "a string, b string, c int")

@@ -62,7 +62,7 @@ def decode_bool(spark, sf_dir):
     )
 
 
-def _corrupt_lineitem(spark, sf_dir):
+def corrupt_lineitem(spark, sf_dir):
     """Lines of ``lineitem``; one in a hundred is broken, in one of four ways."""
     pick = (F.col("l_orderkey") + F.col("l_linenumber")) % 400
     rows = lineitem(spark, sf_dir)
@@ -85,11 +85,11 @@ def _corrupt_lineitem(spark, sf_dir):
 
 def decode_typed(spark, sf_dir):
     schema = _ddl(LINEITEM)
-    return accepted(decode(_corrupt_lineitem(spark, sf_dir), schema), schema)
+    return accepted(decode(corrupt_lineitem(spark, sf_dir), schema), schema)
 
 
 def decode_typed_rejects(spark, sf_dir):
-    return rejected(decode(_corrupt_lineitem(spark, sf_dir), _ddl(LINEITEM)))
+    return rejected(decode(corrupt_lineitem(spark, sf_dir), _ddl(LINEITEM)))
 
 
 def decode_time(spark, sf_dir):
@@ -175,9 +175,16 @@ def utf8_roundtrip(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def load_lineitem(spark, sf_dir):
+    path, target = new_path(spark, "unload"), new_path(spark, "target")
+    unload(lineitem(spark, sf_dir), path)
+    load(spark, path, Directory(target), schema=_ddl(LINEITEM))
+    return spark.read.parquet(target)
+
+
 def _load_corrupt(spark, sf_dir):
     path, target, shared = (new_path(spark, p) for p in ("text", "target", "rejects"))
-    lines = _corrupt_lineitem(spark, sf_dir)
+    lines = corrupt_lineitem(spark, sf_dir)
     lines.write.text(path)
     opts = LoadOptions(max_errors=lines.count() + 1, rejects_path=shared)
     load(spark, path, Directory(target), opts, schema=_ddl(LINEITEM))
@@ -250,7 +257,7 @@ def round_trip_styles(spark, sf_dir):
 LOADS = [
     decode_fields, decode_nulls, decode_bool, decode_typed, decode_typed_rejects, decode_time,
     truncate_varchar, decode_arity, ctrlchars_policy, text_load, record_export,
-    utf8_roundtrip, load_with_budget, rejected_rows, load_summary, bulk_load_append,
+    utf8_roundtrip, load_lineitem, load_with_budget, rejected_rows, load_summary, bulk_load_append,
     update_customers, update_hot_keys, round_trip_styles,
 ]
 
@@ -325,6 +332,9 @@ LOAD_SQL = {
         SELECT p_partkey, p_name, p_type, p_size,
                CAST(p_retailprice AS DECIMAL(18,4)) AS p_retailprice FROM part""",
     "utf8_roundtrip": "SELECT * FROM documents",
+    "load_lineitem": f"""
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {_DECIMALS},
+               l_returnflag, l_linestatus, l_shipdate FROM lineitem""",
     "load_with_budget": _GOOD_LINES,
     "rejected_rows": _BAD_LINES,
     "load_summary": r"""
