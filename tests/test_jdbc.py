@@ -69,10 +69,10 @@ def test_sliced_read(spark, warehouse):
 def test_single_task_and_system_slices(spark, warehouse):
     read_table(spark, CONN, "t")
     read_table(spark, CONN, "t", where="x > 0", num_slices=1, slice_key="id")
-    read_table(spark, CONN, "t", slice_key="DATASLICEID", num_slices=2, slicing="system")
+    read_table(spark, CONN, "t", slice_key="SLICE_ID", num_slices=2, slicing="system")
     assert [p for _, p in warehouse.reads] == [
         ["1=1"], ["1=1 AND ( x > 0 )"],
-        ["MOD(DATASLICEID, 2) = 0", "MOD(DATASLICEID, 2) = 1"],
+        ["MOD(SLICE_ID, 2) = 0", "MOD(SLICE_ID, 2) = 1"],
     ]
     with pytest.raises(ValueError, match="slicing"):
         read_table(spark, CONN, "t", slice_key="id", num_slices=2, slicing="random")

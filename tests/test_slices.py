@@ -69,8 +69,8 @@ def test_user_condition_cannot_escape_its_slice(keyed, ansi_names):
 
 
 def test_system_slices():
-    assert slices.modulo_predicates("DATASLICEID", 2, system_key=True) == [
-        "MOD(DATASLICEID, 2) = 0", "MOD(DATASLICEID, 2) = 1"
+    assert slices.modulo_predicates("SLICE_ID", 2, system_key=True) == [
+        "MOD(SLICE_ID, 2) = 0", "MOD(SLICE_ID, 2) = 1"
     ]
     with pytest.raises(ValueError):
         slices.modulo_predicates("k", 0)
