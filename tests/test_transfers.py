@@ -52,6 +52,17 @@ def test_unload_two_partitions(spark, new_dir):
     assert (summary["rows_read"], summary["rows_loaded"], summary["rows_rejected"]) == (4, 4, 0)
 
 
+def test_success_mark_waits_for_the_budget(spark, new_dir, monkeypatch):
+    import ferryline.plans.unload as plan
+
+    marked = []
+    monkeypatch.setattr(plan, "touch", lambda spark, mark: marked.append(mark))
+    path = new_dir()
+    unload(spark.range(3).withColumn("s", F.lit("x")), path)
+    assert marked == [f"{path}/_SUCCESS"]
+    assert glob(f"{path}/part-*") and not os.path.exists(f"{path}/_SUCCESS")
+
+
 def test_unload_of_nothing(spark, new_dir):
     df = spark.createDataFrame([], "a int, b string")
     assert unload(df, new_dir())["rows_read"] == 0
