@@ -11,10 +11,11 @@ reaches the threshold.
 Texts that are equal word for word are one class before anything else; only one of
 each takes part in banding. In every band bucket all members are compared with one
 leader, the member that shares most buckets, so proposals grow with the members, not
-their square. Links merge into classes; buckets whose members are not all in one
-class go through further rounds with new leaders, until the pairs left across classes
-are few enough (in proportion to the members) to be compared all. So no proposed pair
-of different texts is left undecided unless both ends already are in one class.
+their square. Links merge into classes. The members of buckets that are then still of
+several classes are compared in blocks: members are dealt into blocks of bounded size,
+each pair of blocks is one bounded group, and a product of its 0/1 matrices counts all shared
+shingles; only a spanning set of links leaves the group. So every proposed pair of
+different texts is decided, unless both ends already are in one class.
 
 Results for odd input: NULL and empty texts (no words) are equal texts, one class; a
 text of fewer than five words is one shingle of all of them; repeated rows are in one
@@ -26,6 +27,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +41,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 8
 #: Estimates below the threshold by more than this are not verified (4 deviations).
 SLACK = 0.1
-#: Pairs across classes that are compared all at once, for each member of a bucket.
-PAIRS_PER_MEMBER = 8
+#: Members of a block, and columns of the matrices in which two blocks are compared.
+BLOCK, COLUMNS = 192, 4096
 BATCH_BYTES = 6_000_000
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -55,7 +57,7 @@ def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     short = np.flatnonzero((n > 0) & (n < size))
     if len(short):
         whole = []
-        for r in short.tolist():
+        for r in short.tolist():  # at most four words each
             x = np.uint64(0)
             for v in w.hash[w.first[r]:w.first[r + 1]]:
                 x = x * _BASE + v
@@ -157,7 +159,6 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
     @F.pandas_udf("double")
     def agreement(x, y):
-        import pandas as pd
         return pd.Series([float(np.mean(np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)))
                           for p, q in zip(x, y, strict=True)], dtype=float)
 
@@ -173,50 +174,64 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return met.where(shared >= F.lit(similarity) * union).select("a", "b")
 
 
+def links_in_blocks(names: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A spanning set of the links among the members of two blocks."""
+    n, sizes = len(names), np.array([len(x) for x in sets])
+    values, where = np.unique(np.concatenate(sets), return_inverse=True)
+    member = np.repeat(np.arange(n), sizes)
+    order = np.argsort(where, kind="stable")
+    where, member = where[order], member[order]
+    shared = np.zeros((n, n), np.float32)
+    for a in range(0, len(values), COLUMNS):
+        i, j = np.searchsorted(where, [a, a + COLUMNS])
+        holds = np.zeros((n, COLUMNS), np.float32)
+        holds[member[i:j], where[i:j] - a] = 1
+        shared += holds @ holds.T
+    shared = shared.astype(np.float64)
+    near = shared >= similarity * (sizes[:, None] + sizes[None, :] - shared)
+    label = np.arange(n)
+    while True:
+        lower = np.where(near, label[None, :], n).min(axis=1)
+        lower = np.minimum(label, lower)
+        lower = np.minimum(lower, lower[lower])
+        if (lower == label).all():
+            break
+        label = lower
+    return [(int(names[k]), int(names[i])) for i, k in enumerate(label.tolist()) if k != i]
+
+
 def classes_of(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """``(id, label)`` of members that are linked; ``members`` are ``(bucket, uid)``."""
-    n = members.select("uid").distinct().count()
     size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     weight = members.join(size, "bucket").groupBy("uid").agg(F.sum("size").alias("weight"))
-    open_rows = materialize(members.join(weight, "uid").select(
-        "bucket", "uid", "weight", F.col("uid").alias("label")), "buckets")
-    links, labels = None, None
-    while True:
-        leader = open_rows.groupBy("bucket").agg(
-            F.max(F.struct("weight", (-F.col("uid")).alias("least"), F.col("label").alias("of"))).alias("top"))
-        leader = leader.select("bucket", (-F.col("top.least")).alias("leader"), F.col("top.of").alias("leader_of"))
-        pairs = open_rows.join(leader, "bucket").where(
-            (F.col("uid") != F.col("leader")) & (F.col("label") != F.col("leader_of"))).select(
-            F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()
-        new = materialize(verified(pairs, sets, similarity), "near")
-        links = new if links is None else links.unionAll(new)
-        labels = components(links)
-        # Leaders are done; what is left of a bucket matters while it holds several classes.
-        rest = open_rows.join(leader, "bucket").where(F.col("uid") != F.col("leader")).select(
-            "bucket", "uid", "weight").join(labels, F.col("uid") == F.col("id"), "left").select(
-            "bucket", "uid", "weight", F.coalesce("label", "uid").alias("label"))
-        rest = materialize(rest, "rest")
-        per_class = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-        mixed = materialize(per_class.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"),
-            F.sum(F.col("n") * F.col("n")).alias("same")).where("classes > 1").select(
-            "bucket", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")), "mixed")
-        left = mixed.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
-            return labels
-        # The members that belong to the bucket's smaller classes lead next: their pairs
-        # within the largest class need no comparison.
-        largest = per_class.groupBy("bucket").agg(
-            F.max(F.struct("n", "label")).alias("top")).select("bucket", F.col("top.label").alias("main"))
-        open_rows = materialize(rest.join(mixed.select("bucket"), "bucket", "left_semi").join(
-            largest, "bucket").select(
-            "bucket", "uid", F.when(F.col("label") == F.col("main"), F.lit(-1)).otherwise(F.abs("weight")).alias("weight"),
-            "label"), "buckets")
-        if left <= PAIRS_PER_MEMBER * n:
-            a = open_rows.select("bucket", F.col("uid").alias("a"), F.col("label").alias("of_a"))
-            b = open_rows.select("bucket", F.col("uid").alias("b"), F.col("label").alias("of_b"))
-            pairs = a.join(b, "bucket").where("a < b and of_a <> of_b").select("a", "b").distinct()
-            return components(links.unionAll(materialize(verified(pairs, sets, similarity), "near")))
+    weighed = materialize(members.join(weight, "uid"), "buckets")
+    leader = weighed.groupBy("bucket").agg(
+        F.max(F.struct("weight", (-F.col("uid")).alias("least"))).alias("top")).select(
+        "bucket", (-F.col("top.least")).alias("leader"))
+    led = materialize(weighed.join(leader, "bucket").where(
+        F.col("uid") != F.col("leader")).select("bucket", "uid", "leader"), "led")
+    pairs = led.select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()
+    links = materialize(verified(pairs, sets, similarity), "near")
+    labels = components(links)
+    # A bucket is settled when the rest of its members are of one class.
+    rest = materialize(led.join(labels, F.col("uid") == F.col("id"), "left").select(
+        "bucket", "uid", F.coalesce("label", "uid").alias("label")), "rest")
+    mixed = rest.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where(
+        "low < high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    opened = rest.join(mixed, "bucket").select(
+        "bucket", "uid", "blocks", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("own"))
+    dealt = opened.select("bucket", "uid", "own", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "bucket", "uid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        found = links_in_blocks(group["uid"].to_numpy(), [np.asarray(x) for x in group["shingles"]], similarity)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    more = materialize(dealt.join(sets.select("uid", "shingles"), "uid").groupBy("bucket", "i", "j").applyInPandas(
+        compare, "a bigint, b bigint").distinct(), "near")
+    return components(links.unionAll(more))
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
