@@ -19,6 +19,11 @@ def quote_literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def quote_column(name: str) -> str:
+    """Backtick-quoted name of one top-level Spark column; dots are part of it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def spark_name(table: str, schema: str | None = None) -> str:
     """Backtick-quoted name for the Spark catalog; dots in ``table`` separate parts."""
     parts = ([schema] if schema else []) + table.split(".")

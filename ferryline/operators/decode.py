@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ferryline.functions import codec
 from ferryline.functions import types as ft
 from ferryline.functions.types import FieldType
+from ferryline.functions.names import quote_column
 from ferryline.operators.rules import (
     REJECT_COLUMN, REJECT_REASON, Rule, first_failure, named_failure,
 )
@@ -123,7 +124,9 @@ def _field_rules(
 
 def accepted(decoded: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """The rows that may be loaded, typed columns only."""
-    return decoded.where(F.col(REJECT_REASON).isNull()).select(*keep, *schema.names)
+    return decoded.where(F.col(REJECT_REASON).isNull()).select(
+        *map(quote_column, [*keep, *schema.names])
+    )
 
 
 def rejected(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ferryline.functions import codec
 from ferryline.functions import types as ft
+from ferryline.functions.names import quote_column
 from ferryline.operators.rules import Rule, with_first_failure
 from ferryline.options import UnloadOptions
 
@@ -17,7 +18,8 @@ VALUE = "value"
 
 # Why a row can have no valid record.
 LINE_END, RECORD_SEPARATOR, CONTROL = "line_end", "record_separator", "control_character"
-REASONS = (LINE_END, RECORD_SEPARATOR, CONTROL)
+TOO_LONG = "too_long"
+REASONS = (LINE_END, RECORD_SEPARATOR, CONTROL, TOO_LONG)
 
 
 def encode(
@@ -34,10 +36,13 @@ def encode(
     """
     opts = opts or UnloadOptions()
     names = list(columns) if columns else df.columns
+    unknown = [c for c in (*opts.char_widths, *opts.time_columns) if c not in df.columns]
+    if unknown:
+        raise ValueError(f"no such columns: {unknown} (char_widths, time_columns)")
     fields, rules = [], []
     for name in names:
         ftype = ft.field_type(df.schema[name])
-        value = F.col(_quoted(name))
+        value = F.col(quote_column(name))
         if name in opts.time_columns and ftype.kind == ft.TIMESTAMP:
             ftype, value = ft.FieldType(ft.TIME, "string"), codec.time_text(value)
         if name in opts.char_widths:
@@ -45,9 +50,11 @@ def encode(
         fields.append(codec.encode_field(value, ftype, opts))
         if ftype.kind == ft.STRING:
             rules += _text_rules(name, value, opts)
+            if ftype.padded:  # blanks beyond the width carry nothing, other characters do
+                rules.append(Rule(name, TOO_LONG, F.length(F.rtrim(value)) > ftype.width))
     line = codec.join_fields(fields, opts.field_delim)
     return with_first_failure(
-        df, rules, [*(F.col(_quoted(k)) for k in keep), line.alias(VALUE)]
+        df, rules, [*(F.col(quote_column(k)) for k in keep), line.alias(VALUE)]
     )
 
 
@@ -66,11 +73,10 @@ def _text_rules(name, value, opts: UnloadOptions) -> list[Rule]:
 def can_reject(df: DataFrame, opts: UnloadOptions, columns: Sequence[str] | None = None) -> bool:
     """Whether any row could fail at all under these options."""
     names = columns or df.columns
-    has_text = any(ft.field_type(df.schema[n]).kind == ft.STRING for n in names)
+    types = [ft.field_type(df.schema[n]) for n in names]
+    if opts.char_widths or any(t.padded for t in types):
+        return True
+    has_text = any(t.kind == ft.STRING for t in types)
     return has_text and not (
         opts.ctrl_chars and opts.newline_policy == "space" and opts.record_sep == "\n"
     )
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

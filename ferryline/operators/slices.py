@@ -25,7 +25,7 @@ def slice_number(df: DataFrame, key: str | Sequence[str], n: int) -> Column:
     A single integer key is taken modulo ``n``; any other key, or several
     columns (which spreads the rows of one hot key), is hashed first.
     """
-    _check_count(n)
+    check_count(n)
     keys = [key] if isinstance(key, str) else list(key)
     if len(keys) == 1 and isinstance(
         df.schema[keys[0]].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -39,10 +39,43 @@ def slice_df(df: DataFrame, key: str | Sequence[str], n: int, name: str = "slice
     return df.withColumn(name, slice_number(df, key, n))
 
 
-def range_slice_number(col: Column, lo, hi, n: int) -> Column:
+def exact_literal(value, kind: T.DataType | None = None) -> Column:
+    """A literal that no process time zone can shift.
+
+    ``kind`` is the type of the column it is compared with. An aware datetime is an
+    instant. A naive one goes through its text: as it stands for ``timestamp_ntz`` (and
+    without a ``kind``), in the session's zone for ``timestamp``.
+    """
+    if not isinstance(value, datetime.datetime):
+        return F.lit(value)
+    if value.tzinfo is not None:
+        if isinstance(kind, T.TimestampNTZType):
+            raise ValueError("a timestamp_ntz column takes datetimes without a zone")
+        since = value - datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+        return F.timestamp_micros(F.lit(since // datetime.timedelta(microseconds=1)))
+    as_type = "timestamp" if isinstance(kind, T.TimestampType) else "timestamp_ntz"
+    return F.lit(value.isoformat(sep=" ")).cast(as_type)
+
+
+def exact_row(df: DataFrame, *values: Column) -> tuple:
+    """The values of a one-row aggregate; instants of ``timestamp`` come as aware UTC."""
+    row = df.agg(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+    instants = [isinstance(f.dataType, T.TimestampType) for f in row.schema]
+    fetched = row.select(*[
+        F.unix_micros(f"v{i}") if instant else F.col(f"v{i}") for i, instant in enumerate(instants)
+    ]).first()
+    epoch = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+    return tuple(
+        epoch + datetime.timedelta(microseconds=v) if instant and v is not None else v
+        for v, instant in zip(fetched, instants)
+    )
+
+
+def range_slice_number(col: Column, lo, hi, n: int, kind: T.DataType | None = None) -> Column:
     """Slice of each row among ``n`` equal ranges of ``lo``..``hi``; NULL is slice 0.
 
-    The same cuts as :func:`range_predicates`, compared by bisection.
+    The same cuts as :func:`range_predicates`, compared by bisection. Bounds of a
+    ``timestamp`` column should be aware (:func:`exact_row`); ``kind`` is its type.
     """
     cuts = range_cuts(lo, hi, n)
 
@@ -50,7 +83,7 @@ def range_slice_number(col: Column, lo, hi, n: int) -> Column:
         if first == last:
             return F.lit(first)
         middle = (first + last + 1) // 2
-        return F.when(col >= F.lit(cuts[middle]), locate(middle, last)).otherwise(
+        return F.when(col >= exact_literal(cuts[middle], kind), locate(middle, last)).otherwise(
             locate(first, middle - 1)
         )
 
@@ -59,7 +92,7 @@ def range_slice_number(col: Column, lo, hi, n: int) -> Column:
 
 def range_cuts(lo, hi, n: int) -> list:
     """Lower ends of ``n`` ranges; fewer when the values are too close together."""
-    _check_count(n)
+    check_count(n)
     if lo is None or hi is None:
         return [lo]
     if isinstance(lo, (int, float, Decimal)):
@@ -92,7 +125,7 @@ def modulo_predicates(
     one hot key spread by the others. ``system_key`` marks a locality column of
     the warehouse, named as is, which is never NULL and never negative.
     """
-    _check_count(n)
+    check_count(n)
     if system_key:
         return [f"MOD({key}, {n}) = {i}" for i in range(n)]
     keys = [key] if isinstance(key, str) else list(key)
@@ -128,6 +161,6 @@ def sql_literal(value) -> str:
     return quote_literal(value) if isinstance(value, str) else str(value)
 
 
-def _check_count(n: int) -> None:
+def check_count(n: int) -> None:
     if n < 1:
         raise ValueError("the number of slices must be at least 1")

@@ -33,13 +33,16 @@ def _check_common(opts) -> None:
     if opts.escape != ESCAPE:
         warnings.warn("only backslash can be the escape character; using it", stacklevel=4)
         object.__setattr__(opts, "escape", ESCAPE)
+    if int(opts.max_errors) != float(opts.max_errors):
+        raise ValueError("max_errors must be a whole number")
     object.__setattr__(opts, "max_errors", int(opts.max_errors))
     if opts.max_errors < 1:
         raise ValueError("max_errors must be at least 1")
     if opts.bool_style not in BOOL_STYLES:
         raise ValueError(f"bool_style must be one of {tuple(BOOL_STYLES)}")
-    if len(opts.record_sep) != 1 or opts.record_sep in ("\r", ESCAPE):
-        raise ValueError("record_sep must be one character, not CR or backslash")
+    # Printed numbers, times and booleans hold no control characters, so no record breaks.
+    if len(opts.record_sep) != 1 or opts.record_sep == "\r" or opts.record_sep >= " ":
+        raise ValueError("record_sep must be one control character, not CR")
     if len(opts.field_delim) != 1 or opts.field_delim in (
         ESCAPE, "\r", "\n", opts.record_sep
     ):
@@ -146,6 +149,9 @@ class Connection:
     user: str | None = None
     password: str | None = field(default=None, repr=False)
     options: Mapping[str, str] = field(default_factory=dict)
+    #: Column of every table that tells where the warehouse keeps a row, never NULL
+    #: nor negative; reads in several slices use it where no key is named.
+    locality_column: str | None = None
     #: One-row query for the type of an object; ``{name}`` and ``{schema}`` are
     #: replaced by quoted literals (``{schema}`` by CURRENT_SCHEMA when unset).
     catalog_query: str = (

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.errors import RejectBudgetExceeded
+from ferryline.functions.names import quote_column
 from ferryline.operators.decode import RAW, decode, rejected
 from ferryline.operators.encode import VALUE, encode
 from ferryline.operators.rules import REJECT_REASON
@@ -40,7 +41,8 @@ class Stage:
     path: str
 
     def accepted(self) -> DataFrame:
-        return self.rows.where(F.col(REJECT_REASON).isNull()).select(*self.schema.names)
+        return self.rows.where(F.col(REJECT_REASON).isNull()).select(
+            *map(quote_column, self.schema.names))
 
     def rejected(self) -> DataFrame:
         return rejected(self.rows)
@@ -57,12 +59,30 @@ def stage(
     """
     decoded = decode(lines, schema, opts)
     path = new_path(spark, "load")
-    decoded.withColumn(RAW, F.when(F.col(REJECT_REASON).isNotNull(), F.col(RAW))).write.parquet(
-        path
-    )
+    _store(spark, decoded.withColumn(
+        RAW, F.when(F.col(REJECT_REASON).isNotNull(), F.col(RAW))), path)
     return Stage(spark.read.schema(decoded.schema).parquet(path), schema, path)
 
 
+def _store(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    try:
+        rows.write.parquet(path)
+    except Exception:
+        delete_path(spark, path)
+        raise
+
+
+def _rejects_only(
+    spark: SparkSession, lines: DataFrame, schema: T.StructType, opts: LoadOptions
+) -> tuple[Stage, int]:
+    """The rejected lines, stored, and the number of all lines; one pass, nothing else kept."""
+    counts = Observation("rejects")
+    decoded = decode(lines, schema, opts, observation=counts)
+    path = new_path(spark, "rejects")
+    _store(spark, decoded.where(F.col(REJECT_REASON).isNotNull()), path)
+    return Stage(spark.read.schema(decoded.schema).parquet(path), schema, path), counts.get["read"]
+
+
 def load_lines(
     spark: SparkSession,
     lines: DataFrame,
@@ -78,9 +98,9 @@ def load_lines(
     the default budget the first rejected line fails the job, so clean input is
     read and written once. Any other budget needs the number of rejects before
     the target is touched: the decoded lines are stored, counted by reading one
-    column of what was actually stored, and then published from there. The same
-    happens to report on input that failed the default budget. Rejects and
-    summary are written in either case.
+    column of what was actually stored, and then published from there. After a
+    failure of the default budget one more pass stores the rejected lines alone, for
+    the report. Rejects and summary are written in either case.
     """
     opts = opts or LoadOptions()
     load_id = uuid.uuid4().hex
@@ -95,10 +115,14 @@ def load_lines(
             report.write_summary(spark, summary, opts.rejects_path)
             return summary
 
-    staged = stage(spark, lines, schema, opts)
+    total = None
+    if opts.max_errors == 1:
+        staged, total = _rejects_only(spark, lines, schema, opts)
+    else:
+        staged = stage(spark, lines, schema, opts)
     reasons = staged.rows.groupBy(F.col(REJECT_REASON).alias("reason"))
     counts = {r["reason"]: r["count"] for r in reasons.count().collect()}
-    total = sum(counts.values())
+    total = sum(counts.values()) if total is None else total
     counts.pop(None, None)
     bad = sum(counts.values())
     aborted = bad >= opts.max_errors
@@ -127,7 +151,7 @@ def _publish_clean(
     passes = F.when(F.col(REJECT_REASON).isNull(), True).otherwise(
         F.raise_error(F.lit(_REJECTED)).cast("boolean")
     )
-    publish(decoded.where(passes).select(*schema.names), False)
+    publish(decoded.where(passes).select(*map(quote_column, schema.names)), False)
     return counts.get["read"]
 
 
@@ -140,6 +164,8 @@ def load(
     schema: T.StructType | None = None,
     layout: str = "text",
     mode: str = "append",
+    max_connections: int = 32,
+    batch_size: int = 1000,
 ) -> dict:
     """Direct transfer of a text directory into a table.
 
@@ -148,11 +174,10 @@ def load(
     """
     opts = opts or LoadOptions()
     check_direct(opts, layout=layout, mode=mode)
+    publish = _publisher(spark, target, schema, max_connections, batch_size)
     schema = check_target(spark, target, schema)
     lines = read_lines(spark, path, opts.record_sep)
-    return load_lines(
-        spark, lines, schema, partial(append, target), opts, location=path
-    )
+    return load_lines(spark, lines, schema, publish, opts, location=path)
 
 
 def load_records(
@@ -163,6 +188,8 @@ def load_records(
     *,
     fmt: str = "parquet",
     schema: T.StructType | None = None,
+    max_connections: int = 32,
+    batch_size: int = 1000,
 ) -> dict:
     """Direct transfer of typed records.
 
@@ -171,11 +198,24 @@ def load_records(
     """
     opts = opts or LoadOptions()
     check_direct(opts)
+    publish = _publisher(spark, target, schema, max_connections, batch_size)
     schema = check_target(spark, target, schema)
     lines = record_lines(read_records(spark, path, fmt), opts)
-    return load_lines(
-        spark, lines, schema, partial(append, target), opts, location=path
-    )
+    return load_lines(spark, lines, schema, publish, opts, location=path)
+
+
+def _publisher(
+    spark: SparkSession, target: Table | Directory, schema: T.StructType | None,
+    max_connections: int, batch_size: int,
+) -> Publish:
+    """Append by position: a ``schema`` in other words than the target's gets its names."""
+    names = None
+    if schema is not None and isinstance(target, Table) and target.connection is not None:
+        target.require_table(spark)
+        declared = target.struct(spark).names
+        names = declared if len(declared) == len(schema) else None
+    return partial(append, target, names=names, max_connections=max_connections,
+                   batch_size=batch_size)
 
 
 def record_lines(records: DataFrame, opts: LoadOptions) -> DataFrame:

@@ -1,9 +1,14 @@
-"""Rejected rows and run summaries, written by Spark to the shared path."""
+"""Rejected rows and run summaries, written by Spark to the shared path.
+
+Every run writes below ``load_id=<id>``, which reads back as a column, so runs that
+share the path never touch each other's files.
+"""
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SUMMARY_SCHEMA = (
     "load_id string, location string, rows_read bigint, rows_loaded bigint,"
@@ -29,17 +34,22 @@ def summary(
 def write_rejects(rejects: DataFrame, rejects_path: str | None, load_id: str) -> None:
     """Store the rejected records of one run; skipped when no path is set."""
     if rejects_path and rejects_path.strip():
-        rejects.withColumn("load_id", F.lit(load_id)).write.mode("append").json(
-            f"{rejects_path.rstrip('/')}/rejects"
-        )
+        rejects.write.json(f"{rejects_path.rstrip('/')}/rejects/load_id={load_id}")
 
 
 def write_summary(spark: SparkSession, figures: dict, rejects_path: str | None) -> None:
-    """Store the one-row log of a run; skipped when no path is set."""
+    """Store the one-row log of a run; skipped when no path is set.
+
+    Rows may be in the target by now, so a log that cannot be written is a warning:
+    an error would invite a second load.
+    """
     if rejects_path and rejects_path.strip():
-        summary_frame(spark, figures).write.mode("append").json(
-            f"{rejects_path.rstrip('/')}/summary"
-        )
+        try:
+            summary_frame(spark, figures).drop("load_id").write.json(
+                f"{rejects_path.rstrip('/')}/summary/load_id={figures['load_id']}"
+            )
+        except Exception as exc:
+            warnings.warn(f"the summary of the run could not be stored: {exc}", stacklevel=2)
 
 
 def summary_frame(spark: SparkSession, figures: dict) -> DataFrame:

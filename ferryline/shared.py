@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +45,18 @@ def materialize(df: DataFrame, purpose: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored(df: DataFrame, purpose: str = "stage") -> Iterator[DataFrame]:
+    """``df`` written once and read back; deleted afterwards, also when writing fails."""
+    spark = df.sparkSession
+    path = new_path(spark, purpose)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a directory this library created."""
     target, fs = _file_system(spark, path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager, suppress
+from contextlib import contextmanager, nullcontext, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +18,21 @@ from pyspark.sql import functions as F
 from ferryline.functions.names import qualified_name, quote_identifier
 from ferryline.operators.update import one_row_per_key
 from ferryline.options import Connection
-from ferryline.shared import materialize
+from ferryline.shared import stored as stored_once
 
 #: Lowest isolation the warehouse knows; Spark's own default is READ_UNCOMMITTED.
 ISOLATION = "READ_COMMITTED"
 ROW_NUMBER = "ferryline_row"
 
+# JDBC options that are Spark's own; all others belong to the driver.
+SPARK_OPTIONS = frozenset(
+    "url dbtable query preparequery driver partitioncolumn lowerbound upperbound numpartitions "
+    "querytimeout fetchsize batchsize isolationlevel sessioninitstatement truncate "
+    "cascadetruncate createtableoptions createtablecolumntypes customschema "
+    "pushdownpredicate pushdownaggregate pushdownlimit pushdownoffset pushdowntablesample "
+    "keytab principal refreshkrb5config connectionprovider prefertimestampntz hint".split()
+)
+
 
 def append_table(
     df: DataFrame,
@@ -40,9 +49,9 @@ def append_table(
     ``stored`` says that ``df`` already reads a stable table; otherwise it is
     stored first, since row numbers must not change between task attempts.
     """
-    rows = df if stored else materialize(df, "append")
     names = _column_list(df.columns)
-    with _staging(rows, connection, schema, max_connections, batch_size) as source:
+    once = nullcontext(df) if stored else stored_once(df, "append")
+    with once as rows, _staging(rows, connection, schema, max_connections, batch_size) as source:
         execute(df.sparkSession, connection, [
             f"INSERT INTO {qualified_name(table, schema)} ({names}) "
             f"SELECT {names} FROM ({source}) s"
@@ -71,10 +80,10 @@ def update_table(
     values = [c for c in changes.columns if c not in keys and c not in order_by]
     if not values:
         raise ValueError("no columns to update besides the keys")
-    rows = materialize(one_row_per_key(changes, keys, order_by), "update")
     match = " AND ".join(f"t.{q} = s.{q}" for q in map(quote_identifier, keys))
     assign = ", ".join(f"{q} = s.{q}" for q in map(quote_identifier, values))
-    with _staging(rows, connection, schema, max_connections, batch_size) as source:
+    with (stored_once(one_row_per_key(changes, keys, order_by), "update") as rows,
+          _staging(rows, connection, schema, max_connections, batch_size) as source):
         execute(changes.sparkSession, connection, [
             f"MERGE INTO {qualified_name(table, schema)} t USING ({source}) s "
             f"ON {match} WHEN MATCHED THEN UPDATE SET {assign}"
@@ -118,8 +127,9 @@ def execute(spark: SparkSession, connection: Connection, statements: Sequence[st
     jvm = spark._jvm
     options = connection.properties()
     props = jvm.java.util.Properties()
-    for key in {"user", "password"} & options.keys():
-        props.setProperty(key, options[key])
+    for key, value in options.items():
+        if key.lower() not in SPARK_OPTIONS:
+            props.setProperty(key, str(value))
     if connection.driver:
         jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(
             connection.driver

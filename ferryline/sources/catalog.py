@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.errors import NotATableError
-from ferryline.functions.names import spark_name
+from ferryline.functions.names import quote_column, spark_name
 
 
 def object_type(spark: SparkSession, table: str, schema: str | None = None) -> str:
@@ -30,7 +30,7 @@ def select_rows(
     """
     if where is not None:
         df = df.where(F.expr(f"({where})") if isinstance(where, str) else where)
-    return df.select(*[spark_name(c) for c in columns]) if columns else df
+    return df.select(*[quote_column(c) for c in columns]) if columns else df
 
 
 def query_rows(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ferryline.errors import NotATableError
-from ferryline.functions.names import qualified_name, quote_literal
+from ferryline.functions.names import qualified_name, quote_column, quote_literal
 from ferryline.operators import slices
 from ferryline.options import Connection
 
@@ -37,23 +37,31 @@ def read_table(
     ``slicing`` is ``modulo`` (any integer key), ``system`` (a locality column of
     the warehouse) or ``range`` (equal ranges between the key's bounds, which
     are fetched once). A modulo slice is as large as its largest key, so pick one
-    that spreads, or name several columns to split the rows of a hot key.
+    that spreads, or name several columns to split the rows of a hot key. Without a
+    key the connection's locality column is used; several slices need one of them.
     """
+    if slicing not in SLICINGS:
+        raise ValueError(f"slicing must be one of {SLICINGS}")
+    slices.check_count(num_slices)
+    if num_slices > 1 and slice_key is None:
+        if connection.locality_column is None or slicing == "range":
+            raise ValueError("several slices need a slice_key or the connection's locality_column")
+        slice_key, slicing = connection.locality_column, "system"
+    if slicing != "modulo" and slice_key is not None and not isinstance(slice_key, str):
+        raise ValueError(f"slicing={slicing!r} takes a single key, not {tuple(slice_key)}")
     name = qualified_name(table, schema)
     reader = {**connection.properties(), "dbtable": name}
-    if num_slices == 1 or slice_key is None:
+    if num_slices == 1:
         predicates = ["1=1"]
     elif slicing == "range":
         lo, hi = _bounds(spark, connection, name, slice_key, where)
         predicates = slices.range_predicates(slice_key, lo, hi, num_slices)
-    elif slicing in SLICINGS:
+    else:
         predicates = slices.modulo_predicates(
             slice_key, num_slices, system_key=slicing == "system"
         )
-    else:
-        raise ValueError(f"slicing must be one of {SLICINGS}")
     df = _read_predicates(spark, reader, slices.and_condition(predicates, where))
-    return df.select(*[_spark_column(c) for c in columns]) if columns else df
+    return df.select(*[quote_column(c) for c in columns]) if columns else df
 
 
 def read_query(
@@ -115,7 +123,3 @@ def _read_predicates(spark: SparkSession, options: dict[str, str], predicates) -
     return spark.read.jdbc(
         options["url"], options["dbtable"], predicates=predicates, properties=rest
     )
-
-
-def _spark_column(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

@@ -34,6 +34,8 @@ class Table:
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.connection is None:
+            if self.num_slices != 1 or self.slice_key is not None or self.slicing != "modulo":
+                raise ValueError("Spark plans the partitions of a catalog table; slices are for JDBC")
             df = spark.table(catalog.spark_name(self.name, self.schema))
             return catalog.select_rows(df, self.columns, self.where)
         return jdbc.read_table(

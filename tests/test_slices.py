@@ -1,6 +1,7 @@
 """Slices add up to the table, whatever the keys."""
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +120,41 @@ def test_incremental_condition():
     at = datetime.datetime(2020, 1, 2, 3, 4, 5)
     assert incremental_condition("ts", None, at) == "\"ts\" <= TIMESTAMP '2020-01-02 03:04:05'"
     assert incremental_condition("id", 3, 9) == '"id" > 3 AND "id" <= 9'
+
+
+@pytest.mark.parametrize("process_zone", ["America/New_York", "Asia/Tokyo"])
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("day", ["2024-03-10", "2024-11-03"])
+def test_batches_lose_nothing_in_any_zone(spark, monkeypatch, process_zone, session_zone, kind, day):
+    """Half-hourly rows over a clock change, read in batches as the table grows."""
+    monkeypatch.setenv("TZ", process_zone)
+    time.tzset()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        at = (f"timestampadd(MINUTE, 30 * id, to_timestamp('{day} 03:00:00 +00:00'))" if kind == "timestamp"
+              else f"cast('{day} 00:00:00' as timestamp_ntz) + make_dt_interval(0, 0, 30 * id)")
+        rows = spark.range(24).selectExpr("id", f"{at} AS at")
+        seen, mark = [], None
+        for upto in (6, 9, 10, 24):
+            batch, mark = incremental(rows.where(f"id < {upto}"), "at", mark)
+            seen.append(sorted(r.id for r in batch.collect()))
+        assert seen == [list(range(6)), [6, 7, 8], [9], list(range(10, 24))]
+        lo, hi = slices.exact_row(rows, F.min("at"), F.max("at"))
+        number = slices.range_slice_number(F.col("at"), lo, hi, 3, rows.schema["at"].dataType)
+        got = [r.n for r in rows.orderBy("id").select(number.alias("n")).collect()]
+        assert got == [0] * 8 + [1] * 8 + [2] * 8
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_rows_without_a_mark_are_in_the_first_batch(spark):
+    rows = spark.sql("select * from values (1, 10), (2, null), (3, 20) t(id, `a.b`)")
+    first, mark = incremental(rows, "a.b")
+    assert sorted(r.id for r in first.collect()) == [1, 2, 3] and mark == 20
+    second, same = incremental(rows, "a.b", mark)
+    assert second.collect() == [] and same == 20
+    assert [r.id for r in incremental(rows.where("id = 2"), "a.b")[0].collect()] == [2]

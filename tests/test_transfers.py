@@ -163,7 +163,7 @@ def test_load_rejects_within_the_budget(spark, table, new_dir):
     assert spark.table(name).collect() == [(2, 20)]
     rejects = spark.read.json(f"{shared}/rejects").collect()
     assert [(r["raw"], r["column"], r["reason"]) for r in rejects] == [("1|twenty", "val", "invalid_integer")]
-    logs = glob(f"{shared}/summary/*.json")
+    logs = glob(f"{shared}/summary/*/*.json")
     assert len(logs) == 1
     with open(logs[0], encoding="utf-8") as f:
         assert json.load(f)["by_reason"] == {"invalid_integer": 1}

@@ -93,6 +93,13 @@ def encode_char_pad(spark, sf_dir):
     return encode(rows, UnloadOptions(char_widths={"c_mktsegment": 15})).select("value")
 
 
+def encode_char_too_long(spark, sf_dir):
+    """A CHAR value over its width is a reject, never cut."""
+    rows = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return encode(rows, UnloadOptions(char_widths={"c_mktsegment": 9}), keep=["c_custkey"]).select(
+        "c_custkey", F.col("_reject_column").alias("column"), F.col("_reject_reason").alias("reason"))
+
+
 def newline_space(spark, sf_dir):
     return encode(
         read(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -149,7 +156,8 @@ def null_safe_eq(spark, sf_dir):
 
 ENCODINGS = [
     encode_fields, escape_delim, escape_tab_delim, encode_nulls, encode_nulls_row_wise,
-    encode_bool, encode_decimal, encode_temporal, encode_char_pad, newline_space,
+    encode_bool, encode_decimal, encode_temporal, encode_char_pad,
+    encode_char_too_long, newline_space,
     unload_rejects, bulk_unload, unload_with_budget, unload_summary, null_safe_eq,
 ]
 
@@ -207,6 +215,10 @@ ENCODING_SQL = {
     "encode_char_pad": r"""
         SELECT concat_ws(',', c_custkey, rpad(c_mktsegment, 15, ' '), c_nationkey) AS value
         FROM customer""",
+    "encode_char_too_long": """
+        SELECT c_custkey, CASE WHEN length(rtrim(c_mktsegment)) > 9 THEN 'c_mktsegment' END AS "column",
+            CASE WHEN length(rtrim(c_mktsegment)) > 9 THEN 'too_long' END AS reason
+        FROM customer""",
     "newline_space": r"""
         SELECT concat_ws(',', doc_id, replace(replace(replace(text, '\', '\\'), ',', '\,'),
             chr(10), ' ')) AS value

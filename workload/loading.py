@@ -198,7 +198,9 @@ def load_with_budget(spark, sf_dir):
 
 def rejected_rows(spark, sf_dir):
     _, shared = _load_corrupt(spark, sf_dir)
-    return spark.read.schema("raw string, column string, reason string").json(f"{shared}/rejects")
+    return spark.read.schema("raw string, column string, reason string").json(
+        f"{shared}/rejects"
+    ).select("raw", "column", "reason")
 
 
 def load_summary(spark, sf_dir):

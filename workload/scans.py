@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ferryline import bounds, incremental, slice_df
-from ferryline.operators.slices import range_slice_number
+from ferryline.operators.slices import exact_row, range_slice_number
 from ferryline.sources.catalog import query_rows, select_rows
 from workload.tables import lineitem, orders, read
 
@@ -56,6 +56,14 @@ def range_sliced_scan(spark, sf_dir):
     )
 
 
+def range_sliced_timestamps(spark, sf_dir):
+    """Ranges of a time column; the literals do not depend on any process's zone."""
+    events = read(spark, sf_dir, "events")
+    lo, hi = exact_row(events, F.min("ts"), F.max("ts"))
+    slice_id = range_slice_number(F.col("ts"), lo, hi, 4, events.schema["ts"].dataType)
+    return events.select("event_id", slice_id.cast("int").alias("slice"))
+
+
 def split_bounds(spark, sf_dir):
     return bounds(read(spark, sf_dir, "orders"), "o_orderkey")
 
@@ -107,7 +115,8 @@ def incremental_lastmodified(spark, sf_dir):
 
 
 SCANS = [
-    sliced_scan, sliced_scan_signed_keys, hashed_slices, range_sliced_scan, split_bounds,
+    sliced_scan, sliced_scan_signed_keys, hashed_slices, range_sliced_scan,
+    range_sliced_timestamps, split_bounds,
     query_scan, project_columns, select_all, where_filter, slice_and_where_or,
     incremental_append, incremental_lastmodified,
 ]
@@ -132,6 +141,13 @@ SCAN_SQL = {
         SELECT CAST(least((event_id - lo) * 8 // (hi - lo), 7) AS INTEGER) AS slice,
                count(*) AS row_count, min(event_id) AS first_id, max(event_id) AS last_id
         FROM events, b GROUP BY 1""",
+    "range_sliced_timestamps": """
+        WITH b AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events)
+        SELECT event_id, CAST(
+            (epoch_us(ts) >= round_even(lo + (hi - lo) / 4.0, 0))::INT
+            + (epoch_us(ts) >= round_even(lo + (hi - lo) * 2 / 4.0, 0))::INT
+            + (epoch_us(ts) >= round_even(lo + (hi - lo) * 3 / 4.0, 0))::INT AS INTEGER) AS slice
+        FROM events, b""",
     "split_bounds": "SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders",
     "query_scan": QUERY_TEXT.format(orders="orders", lineitem="lineitem"),
     "project_columns": "SELECT l_shipdate, l_returnflag, l_orderkey FROM lineitem",
