@@ -295,7 +295,7 @@ def score_texts(df: DataFrame, learn: Column, text: str = "text", doc_id: str =
                 hit = known_keys[at] == w.hash
             else:
                 at, hit = np.zeros(len(w.hash), np.int64), np.zeros(len(w.hash), bool)
-            sums = [np.bincount(w.row[hit], x[at[hit]], n) for x in (known, base, logs)]
+            sums = [np.bincount(w.row[hit], x[at[hit]], n).astype(float) for x in (known, base, logs)]
             rest = np.flatnonzero(~hit)
             pair = mix64(w.hash[rest]) ^ (w.row[rest].astype(np.uint64) * _BASE)
             _, one, tf = np.unique(pair, return_index=True, return_counts=True)
