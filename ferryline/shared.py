@@ -37,11 +37,14 @@ def new_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str = "stage") -> DataFrame:
+def materialize(
+    df: DataFrame, purpose: str = "stage", compression: str | None = None
+) -> DataFrame:
     """Write ``df`` once and read it back: stable rows, no lineage."""
     spark = df.sparkSession
     path = new_path(spark, purpose)
-    df.write.parquet(path)
+    writer = df.write if compression is None else df.write.option("compression", compression)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
