@@ -130,20 +130,18 @@ def mix(df: DataFrame, source: str = "source", doc_id: str = "doc_id",
         digits += 1
 
     digest = F.md5(F.coalesce(col(doc_id).cast("string"), F.lit("")))
-    rows = df.select(as_doc(df), col(source).alias("src"), digest.alias("digest"),
-                     F.substring(digest, 1, digits).alias("part"))
-    sizes = df.select(col(source).alias("src"), F.substring(digest, 1, digits).alias("part")) \
-        .groupBy("src", "part").agg(F.count(F.lit(1)).alias("size"))
-    before = sizes.select("src", "part", (F.sum("size").over(
-        Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # A key that is never NULL: rank and join then share one shuffle of the rows.
+    key = F.coalesce(F.concat(F.lit("="), col(source).cast("string")), F.lit("")).alias("key")
+    part = F.substring(digest, 1, digits).alias("part")
+    rows = df.select(as_doc(df), col(source).alias("src"), key, digest.alias("digest"), part)
+    sizes = df.select(key, part).groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
+    before = sizes.select("key", "part", (F.sum("size").over(
+        Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     )).alias("before"))
     ranked = rows.withColumn("within", F.row_number().over(
-        Window.partitionBy("src", "part").orderBy(
+        Window.partitionBy("key", "part").orderBy(
             "digest", F.col("doc").getField(doc_id).asc_nulls_first())) - 1)
-    b = before.select(F.col("src").alias("b_src"), F.col("part").alias("b_part"), "before")
-    placed = ranked.join(
-        b, ranked["src"].eqNullSafe(b["b_src"]) & (ranked["part"] == b["b_part"])
-    ).withColumn("block", F.expr(f"(within + coalesce(before, 0)) div {block_docs}"))
+    placed = ranked.join(before, ["key", "part"]).withColumn("block", F.expr(f"(within + coalesce(before, 0)) div {block_docs}"))
     by_source = F.broadcast(plan.groupBy(F.col("src").alias("p_src")).agg(
         F.first("share").alias("share"), F.first("horizon").alias("horizon"),
         F.array_sort(F.collect_list(F.struct("j", "at"))).alias("ats")))

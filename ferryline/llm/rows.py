@@ -32,7 +32,7 @@ def numbered(df: DataFrame, *columns: Column, only: list[str] | None = None,
     """Store ``uid``, ``doc`` (none if ``only`` is empty) and the computed columns once."""
     doc = [] if only == [] else [as_doc(df, only)]
     return materialize(
-        df.select(F.monotonically_increasing_id().alias("uid"), *doc, *columns), purpose)
+        df.select(F.monotonically_increasing_id().alias("uid"), *doc, *columns), purpose, "zstd")
 
 
 def unpacked(columns: list[str], changed: dict[str, Column] | None = None) -> list[Column]:
