@@ -48,6 +48,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 NO = -1e30
+#: Bits of the filter before the search among the pieces, and its odd multiplier.
+FILTER_BITS, _MIX = 20, np.uint64(0xBF58476D1CE4E5B9)
 
 
 @lru_cache
@@ -82,56 +84,88 @@ def _hash(piece: bytes) -> int:
     return value
 
 
+def _slot(value: np.ndarray) -> np.ndarray:
+    """The bit of the filter that stands for a hash before mixing."""
+    return ((value * _MIX) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
 @dataclass
 class Pieces:
-    """Sorted hashes of the pieces and, in the same order, their log probabilities."""
+    """Sorted hashes of the pieces and, in the same order, their log probabilities.
+
+    ``seen`` marks the slots of their hashes; most substrings of a word are no piece and
+    stop there, without a search among the hashes.
+    """
 
     hashes: np.ndarray
     logs: np.ndarray
     sizes: list[int]
+    seen: np.ndarray
 
     def parts(self) -> tuple:
-        return self.hashes, self.logs, self.sizes
+        return self.hashes, self.logs, self.sizes, self.seen
 
     @staticmethod
     def of(pieces: tuple[bytes, ...], logs: np.ndarray) -> Pieces:
-        hashes = mix64(np.array([_hash(p) for p in pieces], np.uint64))
+        plain = np.array([_hash(p) for p in pieces], np.uint64)
+        hashes = mix64(plain)
         order = np.argsort(hashes)
-        return Pieces(hashes[order], np.asarray(logs)[order], sorted({len(p) for p in pieces}))
-
-    def edges(self, letters: np.ndarray) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
-        """For each piece size: place in the table of the piece at each position (-1: none), and its log."""
-        wide = letters.shape[1]
-        value = np.zeros_like(letters, np.uint64)
-        places, logs = {}, {}
+        seen = np.zeros(1 << FILTER_BITS, bool)
+        seen[_slot(plain)] = True
+        return Pieces(hashes[order], np.asarray(logs)[order], sorted({len(p) for p in pieces}), seen)
+
+    def edges(self, letters: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each piece size that occurs: the positions and words of the pieces, and their places.
+
+        ``letters`` has a row for each position and a column for each word.
+        """
+        wide = len(letters)
+        plus = letters.astype(np.uint64) + np.uint64(1)
+        value = np.zeros_like(plus)
         for size in range(1, min(self.sizes[-1], wide) + 1):
-            value = value[:, :wide - size + 1] * _BASE + letters[:, size - 1:].astype(np.uint64) + np.uint64(1)
-            if size in self.sizes:
-                key = mix64(value)
-                at = np.minimum(np.searchsorted(self.hashes, key), len(self.hashes) - 1)
-                hit = self.hashes[at] == key
-                places[size] = np.where(hit, at, -1)
-                logs[size] = np.where(hit, self.logs[at], NO)
-        return places, logs
-
-
-def forward(logs: dict[int, np.ndarray], words: int, wide: int) -> np.ndarray:
-    alpha = np.full((words, wide + 1), NO)
-    alpha[:, 0] = 0
+            value = value[:wide - size + 1] * _BASE + plus[size - 1:]
+            if size not in self.sizes:
+                continue
+            at, word = np.nonzero(self.seen[_slot(value)])
+            key = mix64(value[at, word])
+            place = np.minimum(np.searchsorted(self.hashes, key), len(self.hashes) - 1)
+            hit = self.hashes[place] == key
+            if hit.any():
+                yield size, at[hit], word[hit], place[hit]
+
+    def lattice(self, letters: np.ndarray) -> tuple[list[tuple], dict[int, np.ndarray]]:
+        """The edges, and for each size the log probability of the piece at each position."""
+        found, logs = [], {}
+        for size, at, word, place in self.edges(letters):
+            found.append((size, at, word, place))
+            logs[size] = np.full((len(letters) - size + 1, letters.shape[1]), NO)
+            logs[size][at, word] = self.logs[place]
+        return found, logs
+
+
+def _add(terms: list[np.ndarray]) -> np.ndarray:
+    """Log of the sum of the exponentials."""
+    top = terms[0]
+    for x in terms[1:]:
+        top = np.maximum(top, x)
+    return top + np.log(sum([np.exp(x - top) for x in terms]))
+
+
+def forward(logs: dict[int, np.ndarray], wide: int, words: int) -> np.ndarray:
+    alpha = np.full((wide + 1, words), NO)
+    alpha[0] = 0
+    used = {s: (x > NO).any(axis=1) for s, x in logs.items()}
     for end in range(1, wide + 1):
-        into = [alpha[:, end - s] + logs[s][:, end - s] for s in logs if s <= end]
-        top = np.max(into, axis=0)
-        alpha[:, end] = top + np.log(np.sum(np.exp(np.array(into) - top), axis=0))
+        alpha[end] = _add([alpha[end - s] + logs[s][end - s] for s in logs if s <= end and used[s][end - s]])
     return alpha
 
 
-def backward(logs: dict[int, np.ndarray], words: int, wide: int) -> np.ndarray:
-    beta = np.full((words, wide + 1), NO)
-    beta[:, wide] = 0
+def backward(logs: dict[int, np.ndarray], wide: int, words: int) -> np.ndarray:
+    beta = np.full((wide + 1, words), NO)
+    beta[wide] = 0
+    used = {s: (x > NO).any(axis=1) for s, x in logs.items()}
     for at in range(wide - 1, -1, -1):
-        out = [beta[:, at + s] + logs[s][:, at] for s in logs if at + s <= wide]
-        top = np.max(out, axis=0)
-        beta[:, at] = top + np.log(np.sum(np.exp(np.array(out) - top), axis=0))
+        beta[at] = _add([beta[at + s] + logs[s][at] for s in logs if at + s <= wide and used[s][at]])
     return beta
 
 
@@ -148,15 +182,16 @@ def by_width(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(0, len(group), many):
             part = group[i:i + many]
             text = b"".join([b" " + words[j] for j in part])
-            yield part, np.frombuffer(text, np.uint8).reshape(len(part), wide)
+            letters = np.frombuffer(text, np.uint8).reshape(len(part), wide)
+            yield part, np.ascontiguousarray(letters.T)
 
 
 def word_logs(pieces: Pieces, words: list[bytes]) -> np.ndarray:
     """Natural log of the marginal probability of each word."""
     out = np.zeros(len(words))
     for part, letters in by_width(words):
-        _, logs = pieces.edges(letters)
-        out[part] = forward(logs, *letters.shape)[:, -1]
+        _, logs = pieces.lattice(letters)
+        out[part] = forward(logs, *letters.shape)[-1]
     return out
 
 
@@ -164,13 +199,11 @@ def expected(pieces: Pieces, words: list[bytes], counts: np.ndarray) -> np.ndarr
     """Expected uses of each piece in the words, by their counts."""
     total = np.zeros(len(pieces.hashes))
     for part, letters in by_width(words):
-        n, wide = letters.shape
-        places, logs = pieces.edges(letters)
-        alpha, beta = forward(logs, n, wide), backward(logs, n, wide)
-        for s in logs:
-            use = np.exp(alpha[:, :wide + 1 - s] + logs[s] + beta[:, s:] - alpha[:, -1:]) * counts[part, None]
-            hit = places[s] >= 0
-            total += np.bincount(places[s][hit], use[hit], len(total))
+        found, logs = pieces.lattice(letters)
+        alpha, beta = forward(logs, *letters.shape), backward(logs, *letters.shape)
+        for size, at, word, place in found:
+            use = np.exp(alpha[at, word] + pieces.logs[place] + beta[at + size, word] - alpha[-1, word])
+            total += np.bincount(place, use * counts[part][word], len(total))
     return total
 
 
