@@ -7,9 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferryline.functions.names import quote_column
 from ferryline.shared import materialize
 
-_ROW, _COUNT, _ORDER, _HASH, _TIE = "_row", "_count", "_order", "_hash", "_tie"
+_ORDER, _HASH = "_order", "_hash"
+
+
+def _col(name: str) -> Column:
+    return F.col(quote_column(name))
+
+
+def _free(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    used = {c.lower() for c in taken}
+    while name in used:
+        name = "_" + name
+    return name
 
 
 def one_row_per_key(
@@ -24,31 +37,32 @@ def one_row_per_key(
     sends one row per task.
     """
     keys, order_by = list(keys), list(order_by)
-    changes = changes.dropna(subset=keys)
+    for key in keys:
+        changes = changes.where(_col(key).isNotNull())
+    kept, count, high, low = (_free(n, keys) for n in ("_row", "_count", "_high", "_low"))
+    by_key = [_col(k) for k in keys]
     payload = [c for c in changes.columns if c not in keys and c not in order_by]
-    row = F.struct(*[F.col(c) for c in (payload or keys)])
+    row = F.struct(*[_col(c) for c in (payload or keys)])
     if not order_by:
-        grouped = changes.groupBy(*keys).agg(
-            F.first(row).alias(_ROW), F.count(F.lit(1)).alias(_COUNT)
+        grouped = changes.groupBy(*by_key).agg(
+            F.first(row).alias(kept), F.count(F.lit(1)).alias(count)
         )
-        broken, reason = F.col(_COUNT) > 1, "several changes for one key"
+        broken, reason = F.col(count) > 1, "several changes for one key"
     else:
-        order = F.struct(*order_by)
-        hashed = F.xxhash64(*(payload or keys))
+        order = F.struct(*[_col(c) for c in order_by])
+        hashed = F.xxhash64(*[_col(c) for c in (payload or keys)])
         # Largest and smallest hash among the rows that are last: they differ
         # exactly when unlike rows tie. ~x reverses the order of longs.
-        grouped = changes.groupBy(*keys).agg(
-            F.max_by(row, F.struct(order, hashed)).alias(_ROW),
-            F.max(F.struct(order.alias(_ORDER), hashed.alias(_HASH))).alias(_HASH),
-            F.max(
-                F.struct(order.alias(_ORDER), F.bitwise_not(hashed).alias(_TIE))
-            ).alias(_TIE),
+        grouped = changes.groupBy(*by_key).agg(
+            F.max_by(row, F.struct(order, hashed)).alias(kept),
+            F.max(F.struct(order.alias(_ORDER), hashed.alias(_HASH))).alias(high),
+            F.max(F.struct(order.alias(_ORDER), F.bitwise_not(hashed).alias(_HASH))).alias(low),
         )
-        broken = F.col(f"{_HASH}.{_HASH}") != F.bitwise_not(F.col(f"{_TIE}.{_TIE}"))
+        broken = F.col(high)[_HASH] != F.bitwise_not(F.col(low)[_HASH])
         reason = "changes for one key tie in order"
-    checked = F.when(broken, F.raise_error(F.lit(reason))).otherwise(F.col(_ROW))
-    return grouped.select(*keys, checked.alias(_ROW)).select(
-        *keys, *[F.col(f"{_ROW}.{c}").alias(c) for c in payload]
+    checked = F.when(broken, F.raise_error(F.lit(reason))).otherwise(F.col(kept))
+    return grouped.select(*by_key, checked.alias(kept)).select(
+        *by_key, *[F.col(kept).getField(c).alias(c) for c in payload]
     )
 
 
@@ -75,12 +89,13 @@ def update_by_key(
     if not values:
         raise ValueError("no columns to update besides the keys")
     unique = materialize(one_row_per_key(changes, keys, order_by), "changes")
-    new = unique.select(*keys, F.struct(*values).alias(_ROW))
+    row = _free("_row", target.columns)
+    new = unique.select(*[_col(k) for k in keys], F.struct(*[_col(c) for c in values]).alias(row))
 
     def updated(name: str) -> Column:
         if name not in values:
-            return F.col(name)
-        value = F.col(f"{_ROW}.{name}").cast(target.schema[name].dataType)
-        return F.when(F.col(_ROW).isNotNull(), value).otherwise(F.col(name)).alias(name)
+            return _col(name)
+        value = F.col(row).getField(name).cast(target.schema[name].dataType)
+        return F.when(F.col(row).isNotNull(), value).otherwise(_col(name)).alias(name)
 
     return target.join(new, keys, "left").select(*[updated(c) for c in target.columns])

@@ -92,3 +92,15 @@ def test_large_changes_are_not_broadcast_and_hot_keys_are_split(spark, new_dir):
         "count(*)", "sum(if(k < 50000, -k, v))"
     ).collect()
     assert list(map(tuple, got)) == list(map(tuple, expected))
+
+
+def test_dotted_names_and_names_of_helper_columns(spark):
+    target = spark.createDataFrame([(1, "a", "b", 0), (2, "c", "d", 0)], "`k.y` int, `_row` string, `v``x` string, `_hash` int")
+    changes = spark.createDataFrame(
+        [(1, "A", "old", 1), (1, "B", "new", 2), (None, "N", "N", 3)],
+        "`k.y` int, `_row` string, `v``x` string, `_high.at` int")
+    got = update_by_key(target, changes, ["k.y"], order_by=["_high.at"])
+    assert got.columns == target.columns
+    assert sorted(map(tuple, got.collect())) == [(1, "B", "new", 0), (2, "c", "d", 0)]
+    keyed = spark.createDataFrame([(7, "x")], "`_row` int, v string")
+    assert update_by_key(keyed, spark.createDataFrame([(7, "y")], "`_row` int, v string"), ["_row"]).first()["v"] == "y"
