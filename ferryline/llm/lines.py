@@ -15,7 +15,9 @@ gives an empty table. Other columns pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.llm.rows import col, numbered, unpacked
@@ -23,19 +25,29 @@ from ferryline.llm.rows import col, numbered, unpacked
 WINDOW = 3
 
 
+def _split(text: Column) -> Column:
+    return F.split(text, "\n", -1)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value bound as a lambda's argument, so that inner lambdas don't repeat it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dedup_lines(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 n_chars: str = "n_chars", window: int = WINDOW) -> DataFrame:
     """``df`` with the repeated lines cut out of ``text``, and ``n_lines``, ``n_removed``.
 
     ``n_chars``, where it exists, counts the new text of a changed row.
     """
-    lines = F.split(col(text), "\n", -1)
-    starts = F.size(lines) - F.lit(window)
-    windows = F.when(starts >= 0, F.transform(
-        F.sequence(F.lit(1), starts + 1),
-        lambda i: F.unhex(F.md5(F.array_join(F.slice(lines, i, window), "\n"))),
-    ))
-    rows = numbered(df, col(doc_id).alias("id"), windows.alias("windows"), purpose="lines")
+    def digests(lines: Column) -> Column:
+        starts = F.size(lines) - F.lit(window)
+        return F.when(starts >= 0, F.transform(
+            F.sequence(F.lit(1), starts + 1),
+            lambda i: F.unhex(F.md5(F.array_join(F.slice(lines, i, window), "\n")))))
+
+    rows = numbered(df, col(doc_id).alias("id"), _once(_split(col(text)), digests).alias("windows"),
+                    purpose="lines")
 
     seen = rows.select("uid", "id", F.posexplode("windows").alias("pos", "window"))
     first = (
@@ -52,15 +64,16 @@ def dedup_lines(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
     )
 
     old = F.col("doc").getField(text)
-    parts = F.split(old, "\n", -1)
     covered = F.flatten(F.transform("later", lambda p: F.sequence(p, p + F.lit(window - 1))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), covered)
     cut = F.col("later").isNotNull()
-    new = F.when(cut, F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    total = F.coalesce(F.size(F.split(old, "\n", -1)), F.lit(-1))
+
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
     result = rows.select("uid", "doc").join(later, "uid", "left").select(
-        "doc", "later", F.coalesce(new, old).alias("new"),
-        F.when(total < 0, 0).otherwise(total).cast("bigint").alias("lines"),
+        "doc", "later", F.coalesce(F.when(cut, _once(_split(old), rest)), old).alias("new"),
+        F.when(old.isNull(), 0).otherwise(F.size(_split(old))).cast("bigint").alias("lines"),
         F.when(cut, F.size(F.array_distinct(covered))).otherwise(0).cast("bigint").alias("gone"),
     )
     changed = {text: F.col("new")}
