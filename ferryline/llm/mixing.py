@@ -119,11 +119,13 @@ def mix(df: DataFrame, source: str = "source", doc_id: str = "doc_id",
     shares = source_shares(df, source, weights, period)
     schedule = materialize(period_schedule(shares, period), "schedule")
     blocks = F.ceil(F.col("n") / block_docs)
-    ends = shares.join(schedule, "rank").where((blocks % F.col("share")) == F.col("j"))
-    horizon = ends.agg(F.min(F.floor(blocks / F.col("share")) * period + F.col("at")).alias("horizon"))
+    # The slot after the last block of a source, in the row of its place in the period.
+    after = F.when((blocks % F.col("share")) == F.col("j"),
+                   F.floor(blocks / F.col("share")) * period + F.col("at"))
     # A row for each source and each place in a period: at most `period` rows in all.
-    plan = materialize(shares.join(schedule, "rank").crossJoin(horizon).select(
-        "src", "share", "j", "at", "horizon"), "plan")
+    plan = materialize(shares.join(schedule, "rank").select(
+        "src", "share", "j", "at",
+        F.min(after).over(Window.partitionBy(F.lit(1))).alias("horizon")), "plan")
     rows_in_all = shares.agg(F.sum("n")).first()[0] or 0
     digits = 1
     while digits < 8 and rows_in_all > GROUP_ROWS * 16**digits:
