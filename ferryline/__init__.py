@@ -5,7 +5,7 @@ from ferryline.functions.types import time_field
 from ferryline.operators.decode import accepted, decode, rejected
 from ferryline.operators.encode import encode
 from ferryline.operators.slices import bounds, slice_df
-from ferryline.operators.update import one_row_per_key, update_by_key
+from ferryline.operators.update import one_row_per_key, update_by_key, updated_by_key
 from ferryline.options import Connection, LoadOptions, UnloadOptions
 from ferryline.plans.jdbc_mode import export_dir, import_rows
 from ferryline.plans.load import load, load_lines, load_records
@@ -21,4 +21,5 @@ __all__ = [
     "export_dir", "import_rows", "incremental", "incremental_condition", "load",
     "load_lines", "load_records", "one_row_per_key", "read_query", "read_table",
     "rejected", "slice_df", "time_field", "unload", "unload_table", "update_by_key",
+    "updated_by_key",
 ]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.functions.names import quote_column
-from ferryline.shared import materialize
+from ferryline.shared import materialize, stored
 
 _ORDER, _HASH = "_order", "_hash"
 
@@ -34,7 +35,8 @@ def one_row_per_key(
     last in that order wins; different rows that tie for last fail the job, so
     no row is ever picked at random. Changes with a NULL key match nothing and
     are left out. Aggregates on the map side, so a key with very many changes
-    sends one row per task.
+    sends one row per task. Whole rows are the aggregate's buffers, so each task sorts
+    its changes by key before it reduces them; changes are few beside the target.
     """
     keys, order_by = list(keys), list(order_by)
     for key in keys:
@@ -81,6 +83,31 @@ def update_by_key(
     exchanges, for which adaptive execution can broadcast the changes when their
     measured size allows it and otherwise split the partitions of a hot key.
     """
+    values = _values(target, changes, keys, order_by)
+    return _applied(target, materialize(one_row_per_key(changes, keys, order_by), "changes"),
+                    list(keys), values)
+
+
+@contextmanager
+def updated_by_key(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+) -> Iterator[DataFrame]:
+    """:func:`update_by_key` for a ``with`` block, which deletes the stored changes at its end.
+
+    Write the rows inside the block; the plan cannot be run after it.
+    """
+    values = _values(target, changes, keys, order_by)
+    with stored(one_row_per_key(changes, keys, order_by), "changes") as unique:
+        yield _applied(target, unique, list(keys), values)
+
+
+def _values(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+) -> list[str]:
+    """The columns to set."""
     keys = list(keys)
     values = [c for c in changes.columns if c not in keys and c not in order_by]
     unknown = set(values + keys) - set(target.columns)
@@ -88,8 +115,13 @@ def update_by_key(
         raise ValueError(f"columns not in the target: {sorted(unknown)}")
     if not values:
         raise ValueError("no columns to update besides the keys")
-    unique = materialize(one_row_per_key(changes, keys, order_by), "changes")
-    row = _free("_row", target.columns)
+    return values
+
+
+def _applied(
+    target: DataFrame, unique: DataFrame, keys: list[str], values: list[str]
+) -> DataFrame:
+    row =_free("_row", target.columns)
     new = unique.select(*[_col(k) for k in keys], F.struct(*[_col(c) for c in values]).alias(row))
 
     def updated(name: str) -> Column:

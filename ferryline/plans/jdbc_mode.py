@@ -39,9 +39,18 @@ def export_dir(
     *,
     schema: T.StructType | None = None,
     update_keys: Sequence[str] = (),
+    order_by: Sequence[str] = (),
     num_writers: int = 1,
+    max_connections: int = 32,
+    batch_size: int = 1000,
 ) -> dict | None:
-    """Append a directory to a table, or update the table by key from it."""
+    """Append a directory to a table, or update the table by key from it.
+
+    ``order_by`` names the columns of typed records that order repeated keys; they are not
+    written. Lines of text bind to the target's columns, so there it names some of these.
+    """
+    if order_by and not update_keys:
+        raise ValueError("order_by is for updates by key")
     if update_keys:
         if not isinstance(target, Table) or target.connection is None:
             raise ValueError("update mode needs a warehouse table; see update_by_key for files")
@@ -49,10 +58,11 @@ def export_dir(
         def publish(rows: DataFrame, stored: bool) -> None:
             jdbc.update_table(
                 rows, target.connection, target.name, list(update_keys),
-                schema=target.schema, num_writers=num_writers,
+                schema=target.schema, order_by=list(order_by), num_writers=num_writers,
+                max_connections=max_connections, batch_size=batch_size,
             )
     else:
-        publish = partial(append, target)
+        publish = partial(append, target, max_connections=max_connections, batch_size=batch_size)
     if fmt in RECORD_FORMATS:
         publish(read_records(spark, path, fmt), True)
         return None

@@ -12,7 +12,7 @@ from ferryline.operators.encode import REASONS, VALUE, can_reject, encode
 from ferryline.operators.rules import REJECT_COLUMN, REJECT_REASON
 from ferryline.options import UnloadOptions, check_direct
 from ferryline.plans import report
-from ferryline.shared import delete_path, touch
+from ferryline.shared import delete_path, stored, touch
 from ferryline.sources.table import Table
 
 _SUCCESS_MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
@@ -24,13 +24,24 @@ def unload(df: DataFrame, path: str, opts: UnloadOptions | None = None) -> dict:
     One pass without a shuffle: every input partition becomes a part file. Rows
     without a valid record are counted by the same job, which leaves out the
     ``_SUCCESS`` mark; the mark is set when the count is below ``max_errors``,
-    else the output is removed again. So nothing is moved or written twice. Only
-    when some rows are rejected within the budget is the input read again, to
-    store them.
+    else the output is removed again. So nothing is moved or written twice.
+
+    Where rejects are to be stored and the budget allows some, the encoded rows are
+    stored first, so that the rejects are those that were counted even if ``df``
+    changes between reads. With the default budget a failed run reads ``df`` again
+    to report its rejects.
     """
     opts = opts or UnloadOptions()
-    spark, load_id = df.sparkSession, uuid.uuid4().hex
     encoded = encode(df, opts)
+    keeps_rejects = opts.max_errors > 1 and (opts.rejects_path or "").strip()
+    if keeps_rejects and can_reject(df, opts):
+        with stored(encoded, "unload") as rows:
+            return _write(df, rows, path, opts)
+    return _write(df, encoded, path, opts)
+
+
+def _write(df: DataFrame, encoded: DataFrame, path: str, opts: UnloadOptions) -> dict:
+    spark, load_id = df.sparkSession, uuid.uuid4().hex
     counts = Observation("unload")
     observed = encoded.observe(
         counts,

@@ -22,7 +22,7 @@ from ferryline.shared import stored as stored_once
 
 #: Lowest isolation the warehouse knows; Spark's own default is READ_UNCOMMITTED.
 ISOLATION = "READ_COMMITTED"
-ROW_NUMBER = "ferryline_row"
+ROW_NUMBER, COPY = "ferryline_row", "ferryline_copy"
 
 # JDBC options that are Spark's own; all others belong to the driver.
 SPARK_OPTIONS = frozenset(
@@ -49,12 +49,12 @@ def append_table(
     ``stored`` says that ``df`` already reads a stable table; otherwise it is
     stored first, since row numbers must not change between task attempts.
     """
-    names = _column_list(df.columns)
+    names, target = _column_list(df.columns), qualified_name(table, schema)
     once = nullcontext(df) if stored else stored_once(df, "append")
-    with once as rows, _staging(rows, connection, schema, max_connections, batch_size) as source:
+    with (once as rows,
+          _staging(rows, connection, target, schema, max_connections, batch_size) as source):
         execute(df.sparkSession, connection, [
-            f"INSERT INTO {qualified_name(table, schema)} ({names}) "
-            f"SELECT {names} FROM ({source}) s"
+            f"INSERT INTO {target} ({names}) SELECT {names} FROM ({source}) s"
         ])
 
 
@@ -80,22 +80,29 @@ def update_table(
     values = [c for c in changes.columns if c not in keys and c not in order_by]
     if not values:
         raise ValueError("no columns to update besides the keys")
+    target = qualified_name(table, schema)
     match = " AND ".join(f"t.{q} = s.{q}" for q in map(quote_identifier, keys))
     assign = ", ".join(f"{q} = s.{q}" for q in map(quote_identifier, values))
     with (stored_once(one_row_per_key(changes, keys, order_by), "update") as rows,
-          _staging(rows, connection, schema, max_connections, batch_size) as source):
+          _staging(rows, connection, target, schema, max_connections, batch_size) as source):
         execute(changes.sparkSession, connection, [
-            f"MERGE INTO {qualified_name(table, schema)} t USING ({source}) s "
+            f"MERGE INTO {target} t USING ({source}) s "
             f"ON {match} WHEN MATCHED THEN UPDATE SET {assign}"
         ])
 
 
 @contextmanager
 def _staging(
-    rows: DataFrame, connection: Connection, schema, max_connections: int, batch_size: int
+    rows: DataFrame, connection: Connection, target: str, schema, max_connections: int,
+    batch_size: int,
 ) -> Iterator[str]:
-    """Send the numbered rows to a fresh table; yields the query that reads them."""
+    """Send the numbered rows to a fresh table; yields the query that reads them.
+
+    The warehouse makes that table from the target, so its columns have the target's
+    types, and repeats are told by the row number alone, whatever the columns hold.
+    """
     table = qualified_name(f"ferryline_{uuid.uuid4().hex[:16]}", schema)
+    names, number, copy = _column_list(rows.columns), *map(quote_identifier, (ROW_NUMBER, COPY))
     numbered = rows.withColumn(ROW_NUMBER, F.monotonically_increasing_id())
     options = {
         **connection.properties(),
@@ -105,9 +112,13 @@ def _staging(
         "isolationLevel": ISOLATION,
     }
     try:
+        execute(rows.sparkSession, connection, [
+            f"CREATE TABLE {table} AS "
+            f"SELECT {names}, CAST(0 AS BIGINT) AS {number} FROM {target} WHERE 1 = 0"
+        ])
         _save(numbered, options)
-        names = _column_list([ROW_NUMBER, *rows.columns])
-        yield f"SELECT DISTINCT {names} FROM {table}"
+        yield (f"SELECT {names} FROM (SELECT {names}, ROW_NUMBER() OVER "
+               f"(PARTITION BY {number} ORDER BY {number}) AS {copy} FROM {table}) d WHERE {copy} = 1")
     finally:
         # A failed clean-up must not hide the error that led here.
         with suppress(Exception):
@@ -115,7 +126,7 @@ def _staging(
 
 
 def _save(rows: DataFrame, options: dict[str, str]) -> None:
-    rows.write.format("jdbc").options(**options).mode("errorifexists").save()
+    rows.write.format("jdbc").options(**options).mode("append").save()
 
 
 def _column_list(columns: Sequence[str]) -> str:

@@ -139,12 +139,20 @@ def test_load_into_a_warehouse_table(spark, warehouse, tmp_path):
     assert options["isolationLevel"] == "READ_COMMITTED" and options["numPartitions"] == "32"
     staging = options["dbtable"]
     assert warehouse.executed == [
-        'INSERT INTO "S"."t" ("id", "val") SELECT "id", "val" FROM '
-        f'(SELECT DISTINCT "{sink.ROW_NUMBER}", "id", "val" FROM {staging}) s',
+        f'CREATE TABLE {staging} AS SELECT "id", "val", CAST(0 AS BIGINT) AS "{sink.ROW_NUMBER}" '
+        'FROM "S"."t" WHERE 1 = 0',
+        f'INSERT INTO "S"."t" ("id", "val") SELECT "id", "val" FROM ({once(staging)}) s',
         f"DROP TABLE {staging}",
     ]
 
 
+def once(staging):
+    """The query that reads every staged row once, however often it was sent."""
+    return (f'SELECT "id", "val" FROM (SELECT "id", "val", ROW_NUMBER() OVER (PARTITION BY '
+            f'"{sink.ROW_NUMBER}" ORDER BY "{sink.ROW_NUMBER}") AS "{sink.COPY}" FROM {staging}) d '
+            f'WHERE "{sink.COPY}" = 1')
+
+
 def test_update_of_a_warehouse_table(spark, warehouse, tmp_path):
     path = str(tmp_path / "changes")
     spark.createDataFrame([(1, "x"), (3, "y")], "id int, val string").write.parquet(path)
@@ -152,15 +160,35 @@ def test_update_of_a_warehouse_table(spark, warehouse, tmp_path):
     export_dir(spark, path, target, "parquet", update_keys=["id"])
     (rows, _, options), = warehouse.saved
     assert [r[:2] for r in rows] == [(1, "x"), (3, "y")]
-    assert warehouse.executed[0] == (
-        'MERGE INTO "t" t USING (SELECT DISTINCT '
-        f'"{sink.ROW_NUMBER}", "id", "val" FROM {options["dbtable"]}) s '
+    assert warehouse.executed[1] == (
+        f'MERGE INTO "t" t USING ({once(options["dbtable"])}) s '
         'ON t."id" = s."id" WHEN MATCHED THEN UPDATE SET "val" = s."val"'
     )
     with pytest.raises(ValueError, match="exactly one writer"):
         export_dir(spark, path, target, "parquet", update_keys=["id"], num_writers=4)
 
 
+def test_update_settings_reach_the_sink(spark, warehouse, tmp_path):
+    path = str(tmp_path / "changes")
+    spark.createDataFrame([(1, "old", 1), (1, "new", 2)], "id int, val string, at int").write.parquet(path)
+    export_dir(spark, path, Table("t", connection=CONN), "parquet", update_keys=["id"],
+               order_by=["at"], max_connections=3, batch_size=50)
+    (rows, columns, options), = warehouse.saved
+    assert [r[:2] for r in rows] == [(1, "new")] and columns == ["id", "val", sink.ROW_NUMBER]
+    assert (options["numPartitions"], options["batchsize"]) == ("3", "50")
+    with pytest.raises(ValueError, match="order_by"):
+        export_dir(spark, path, Table("t", connection=CONN), "parquet", order_by=["at"])
+
+
+def test_staged_rows_are_read_once(spark):
+    """The query over a staging table, run by Spark on rows that were sent twice."""
+    spark.createDataFrame([(1, "a", 0), (1, "a", 1), (2, None, 2), (2, None, 2)],
+                          f"id int, val string, {sink.ROW_NUMBER} bigint").createOrReplaceTempView("sent_twice")
+    query = once("sent_twice").replace('"', "`")
+    assert sorted(map(str, spark.sql(query).collect())) == [
+        "Row(id=1, val='a')", "Row(id=1, val='a')", "Row(id=2, val=None)"]
+
+
 def test_failed_statements_drop_the_staging_table(spark, warehouse, monkeypatch):
     calls = []
 

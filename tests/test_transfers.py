@@ -85,6 +85,19 @@ def test_unload_budget(spark, new_dir):
     assert spark.read.json(f"{shared}/summary").count() == 2
 
 
+def test_stored_unload_rejects_are_the_counted_ones(spark, new_dir):
+    """An unstable frame: every read of it gives other rows."""
+    from ferryline.shared import shared_dir
+
+    unstable = spark.range(2000).select("id", F.when(F.rand() < 0.5, F.lit("a\n")).otherwise(F.lit("a")).alias("s"))
+    path, shared = new_dir(), new_dir("rejects")
+    stages = set(glob(f"{shared_dir(spark)}/unload-*"))
+    summary = unload(unstable, path, UnloadOptions(max_errors=5000, rejects_path=shared))
+    assert spark.read.json(f"{shared}/rejects").count() == summary["rows_rejected"]
+    assert len(lines_in(spark, path)) == summary["rows_loaded"] == 2000 - summary["rows_rejected"]
+    assert set(glob(f"{shared_dir(spark)}/unload-*")) == stages
+
+
 def test_unload_keeps_line_ends_when_escaped(spark, new_dir):
     df = spark.createDataFrame([(1, "a\r\nb\n"), (2, "\n")], "a int, b string")
     path, target = new_dir(), new_dir("target")

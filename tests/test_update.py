@@ -1,10 +1,13 @@
 """Update by key: semantics, repeated keys, skew."""
 
+from glob import glob
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ferryline import one_row_per_key, update_by_key
+from ferryline import one_row_per_key, update_by_key, updated_by_key
+from ferryline.shared import shared_dir
 
 
 @pytest.fixture
@@ -24,6 +27,20 @@ def test_update_sets_matching_rows_only(spark, target):
         [(1, "a", 10), (2, "b", 5), (2, "b2", 5), (None, "n", 0)], target.schema))
 
 
+def test_updated_by_key_deletes_its_stored_changes(spark, target):
+    changes = spark.createDataFrame([(2, 5)], "k int, v int")
+    stored = f"{shared_dir(spark)}/changes-*"
+    before = set(glob(stored))
+    with updated_by_key(target, changes, ["k"]) as updated:
+        assert rows(updated) == rows(update_by_key(target, changes, ["k"]))
+        during = set(glob(stored))
+    assert len(during - before) == 2 and len(set(glob(stored)) - before) == 1
+    with pytest.raises(PySparkException, match="several changes"):
+        with updated_by_key(target, changes.unionAll(changes), ["k"]):
+            pass
+    assert len(set(glob(stored)) - before) == 1
+
+
 def test_update_to_null(spark, target):
     changes = spark.createDataFrame([(1, None, None)], "k int, s string, v bigint")
     assert (1, None, None) in rows(update_by_key(target, changes, ["k"]))
