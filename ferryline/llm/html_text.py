@@ -2,11 +2,13 @@
 
 A page is read as a tree. Every node gets its link-adjusted density: characters per
 tag, lowered where much of the text lies in links, and the sum of its children's
-densities. The subtree with the largest sum marks the article; the smallest density
-on its path to the body is the threshold, and the subtree grows to an enclosing element
-while all parts of that reach the threshold. It is printed without its boilerplate. Boilerplate
-(menus, footers, adverts, forms, comments by readers ...) is known by element, role
-and class and carries no density; an <article> or <main> is preferred where a page has it.
+densities, bare text being a child. The element of layout with the largest sum is
+the best; the smallest density on its path to the body is the threshold. The best grows to an
+enclosing element while all parts of that belong to it, and wherever a node elsewhere reaches
+the threshold, the largest sum below it is taken too. All that is printed in page order, without
+its boilerplate. Boilerplate (menus, footers, adverts, forms, comments by readers ...) is known
+by element, role and class and carries no density, nor does anything inside it. An <article> or
+<main> decides ties, and may hold parts below the threshold that are not mostly links.
 
 Results for odd input: NULL and empty html, and pages without text, give an empty text;
 broken markup is closed as it comes; unknown entities stay as they are; an empty
@@ -51,37 +53,58 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$
                    r"</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|"
                    r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: Elements that lay out a page; others are part of a text.
+LAYOUT = frozenset("html body div article main section td center".split())
 #: White space of HTML texts, no-break space included.
 SPACES = re.compile(r"[\s ​﻿]+")
 
 
 class Node:
     __slots__ = ("tag", "noise", "parent", "parts", "chars", "tags", "link_chars", "link_tags",
-                 "density", "total")
+                 "density", "total", "top")
 
-    def __init__(self, tag: str, noise: bool, parent: Node | None):
+    def __init__(self, tag: str, noise: int, parent: Node | None):
         self.tag, self.noise, self.parent, self.parts = tag, noise, parent, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.top: Node | None = None
 
 
-def _is_noise(tag: str, attributes: str) -> bool:
-    if tag in SKIPPED:
-        return True
+def _noise(tag: str, attributes: str) -> int:
+    """2 for boilerplate, 1 if it may be the wrapper of a page (a form, a class), else 0."""
+    if tag in SKIPPED and tag != "form":
+        return 2
+    found = int(tag == "form")
     if not attributes or tag in ("html", "body"):
-        return False
+        return found
     for name, *values in ATTRIBUTE.findall(attributes):
         value, name = next((v for v in values if v), ""), name.lower()
         if name in ("class", "id") and tag not in ("article", "main") and NOISE.search(value):
-            return True
+            found = 1
         if name == "role" and value.lower() in ROLES or name == "aria-hidden" and value == "true":
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes, re.I))
+            return 2
+    return 2 if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes, re.I) else found
+
+
+def _spread_noise(nodes: list[Node]) -> None:
+    """Marks all that lies in noise; what wraps <main>, or an <article> with <h1>, is none."""
+    seen = set()
+    for node in nodes:
+        if node.tag in ("main", "h1"):
+            held, up = node.tag == "main", node.parent
+            while up and (up, held) not in seen:
+                seen.add((up, held))
+                if held and up.noise == 1:
+                    up.noise = 0
+                held = held or up.tag == "article"
+                up = up.parent
+    for node in nodes:
+        node.noise = bool(node.noise or node.parent and node.parent.noise)
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
     """The root and all nodes in page order."""
-    root = here = Node("html", False, None)
+    root = here = Node("html", 0, None)
     nodes, at, end = [root], 0, len(page)
     while at < end:
         if here.tag in RAW:
@@ -111,7 +134,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                     here = up.parent
             if tag in ("html", "body") and any(n.tag == tag for n in nodes[1:]):
                 continue
-            node = Node(tag, _is_noise(tag, m[3]), here)
+            node = Node(tag, _noise(tag, m[3]), here)
             here.parts.append(node)
             nodes.append(node)
             if tag not in VOID and not m[3].rstrip().endswith("/"):
@@ -122,6 +145,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                 up = up.parent
             if up and up.parent:
                 here = up.parent
+    _spread_noise(nodes)
     return root, nodes
 
 
@@ -142,41 +166,62 @@ def measure(nodes: list[Node]) -> None:
             up.link_tags += node.link_tags
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
     share = body.link_chars / body.chars if body.chars else 0.0
+
+    def density(chars: int, tags: int, link_chars: int, link_tags: int) -> float:
+        tags, links, link_tags = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+        base = math.log(chars / max(chars - link_chars, 1) * link_chars + share * chars + math.e)
+        ratio = chars / links * tags / link_tags
+        return chars / tags * math.log(ratio) / base if ratio > 1 else 0.0
+
     for node in reversed(nodes):
-        if node.chars and not node.noise:
-            chars, tags = node.chars, max(node.tags, 1)
-            links, link_tags = max(node.link_chars, 1), max(node.link_tags, 1)
-            plain = max(chars - node.link_chars, 1)
-            base = math.log(chars / plain * node.link_chars + share * chars + math.e)
-            ratio = max(chars / links * tags / link_tags, 1.0)
-            node.density = chars / tags * math.log(ratio + 1e-9) / base if ratio > 1 else 0.0
-        if node.parent:
-            node.parent.total += node.density
-
-
-def main_node(nodes: list[Node]) -> Node:
-    """The subtree to print."""
-    named = [n for n in nodes if n.tag in ("article", "main") and not n.noise and n.chars]
-    inside = [n for n in nodes if not n.noise and n.chars]
-    if named:
-        return max(named, key=lambda n: (n.tag == "article", n.chars))
-    if not inside:
-        return nodes[0]
-    best = max(inside, key=lambda n: n.total)
+        if node.noise:
+            continue
+        if node.chars:
+            node.density = density(node.chars, node.tags, node.link_chars, node.link_tags)
+        if node.tag in LAYOUT or "-" in node.tag:
+            node.total += sum(density(len(t), 0, 0, 0) for x in node.parts
+                              if isinstance(x, str) and (t := x.strip()))
+            if node.chars and (node.top is None or _rank(node) >= _rank(node.top)):
+                node.top = node
+        if up := node.parent:
+            up.total += node.density
+            if node.top and (up.top is None or _rank(node.top) >= _rank(up.top)):
+                up.top = node.top
+
+
+def _rank(node: Node) -> tuple[float, bool]:
+    return node.total, node.tag in ("article", "main")
+
+
+def _belongs(part: Node, up: Node, threshold: float) -> bool:
+    if part.density >= threshold or up.tag in ("article", "main") and 2 * part.link_chars < part.chars:
+        return True
+    return part.tag not in LAYOUT and "-" not in part.tag and not part.link_chars
+
+
+def main_nodes(nodes: list[Node]) -> set[Node]:
+    """The subtrees to print."""
+    best = nodes[0].top
+    if best is None:
+        return set()
     path = [best]
     while path[-1].parent and path[-1].tag != "body":
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
+    grown = best
     for up in path[1:]:  # an enclosing element whose every part is as dense belongs to it
         parts = [x for x in up.parts if isinstance(x, Node) and not x.noise and x.chars]
-        if up.tag in ("body", "html") or any(x.density < threshold for x in parts):
+        if up.tag in ("body", "html") or not all(_belongs(x, up, threshold) for x in parts):
             break
-        best = up
-    return best
+        grown = up
+    chosen = {grown}
+    if threshold > 0:
+        chosen |= {n.top or n for n in nodes if n.density >= threshold}
+    return chosen
 
 
-def text_of(node: Node) -> str:
-    """Blocks in page order, joined by one space."""
+def text_of(root: Node, chosen: set[Node]) -> str:
+    """Blocks of the chosen subtrees in page order, joined by one space."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -186,19 +231,21 @@ def text_of(node: Node) -> str:
             blocks.append(block)
         line.clear()
 
-    todo: list[Node | str | None] = [node]
+    todo: list[tuple[Node | str | None, bool]] = [(root, False)]
     while todo:
-        x = todo.pop()
+        x, inside = todo.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
-            line.append(x)
+            if inside:
+                line.append(x)
         elif not x.noise:
-            block = x.tag in BLOCKS
+            block = x.tag in BLOCKS or x in chosen and not inside
             if block:
                 flush()
-                todo.append(None)
-            todo.extend(reversed(x.parts))
+                todo.append((None, False))
+            inside = inside or x in chosen
+            todo.extend((part, inside) for part in reversed(x.parts))
     flush()
     return " ".join(blocks)
 
@@ -206,9 +253,9 @@ def text_of(node: Node) -> str:
 def extract(page: str | None) -> str:
     if not page:
         return ""
-    _, nodes = parse(page)
+    root, nodes = parse(page)
     measure(nodes)
-    return text_of(main_node(nodes))
+    return text_of(root, main_nodes(nodes))
 
 
 def extract_text(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

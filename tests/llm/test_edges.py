@@ -226,6 +226,35 @@ def test_pages(spark):
     assert html_text.extract_text(table.where("false")).count() == 0
 
 
+SAID = "Some words of a story that go on for a good while, so that this paragraph is long enough. "
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Read more about item {i}</a></li>" for i in range(12)) + "</ul>"
+
+
+@pytest.mark.parametrize("page, text", [
+    # neither <article> nor <main>
+    (f"<body><div>{LINKS}</div><div><h2>Head</h2><p>{SAID}<p>{SAID}</div><div>{LINKS}</div></body>",
+     f"Head {SAID}{SAID}"),
+    # several articles that are all dense
+    (f"<body>{LINKS}<article><h2>A</h2><p>{SAID}</p><p>{SAID}</p></article>"
+     f"<article><h2>B</h2><p>{SAID}</p><p>{SAID}</p><p>{SAID}</p></article></body>",
+     f"A {SAID * 2}B {SAID * 3}"),
+    # a short teaser beside a long <main>, and an article that holds links only
+    (f"<body><article>Short teaser</article><main><h1>T</h1><p>{SAID}</p><p>{SAID}</p></main></body>",
+     f"T {SAID * 2}"),
+    (f"<body><article>{LINKS}</article><div><p>{SAID}</p><p>{SAID}</p></div></body>", SAID * 2),
+    # comment articles are noise, however long
+    (f"<body><div><p>{SAID}</p><p>{SAID}</p></div><section class='comments'><article><p>{SAID * 9}</p></article>"
+     f"</section><aside><main-like><p>{SAID * 9}</p></main-like></aside></body>", SAID * 2),
+    # a form or class around the whole page is none
+    (f"<body><form id=f><div class='with-sidebar'><main><p>{SAID}</p><p>{SAID}</p></main></div></form></body>", SAID * 2),
+    # bare text with a small element in it
+    (f"<body>{LINKS}<div>{SAID * 3}<br>{SAID * 3}<div><p>Note one.</p><p>Note two.</p></div></div></body>",
+     f"{SAID * 6}Note one. Note two."),
+])
+def test_density_decides(page, text):
+    assert html_text.extract(page).strip() == text.strip()
+
+
 def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
     from conftest import SF_DIR
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
