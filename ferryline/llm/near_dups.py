@@ -1,12 +1,14 @@
-"""Near-duplicates by ProbMinHash over weighted word shingles.
+"""Near-duplicates by ProbMinHash over word shingles.
 
-Every shingle of five words sends a Poisson process of arrivals, with its weight
-(1 + ln of its count in the text) as the rate, to registers chosen at random; a register keeps the
-shingle that arrived first. Arrivals are drawn one round after the other for all
+Every shingle of five words sends a Poisson process of arrivals to registers chosen at random; a
+register keeps the shingle that arrived first. The rate is the weight of the shingle, 1 however
+often it is in the text: a link is defined on sets, and with any other weight repeated lines
+would keep texts apart in banding whose sets are alike. Arrivals are drawn one round after the other for all
 shingles that can still be first somewhere, and end early for the rest. Equal registers
-estimate the probability Jaccard similarity of two texts. Bands of registers propose
+estimate the probability Jaccard similarity of two texts, with equal weights the Jaccard similarity
+of their shingle sets. Bands of registers propose
 candidates; a proposal counts when the exact Jaccard similarity of the shingle sets
-reaches the threshold.
+reaches the threshold. Only sizes that rule this out spare the comparison.
 
 Texts that are equal word for word are one class before anything else; only one of
 each takes part in banding. In every band bucket all members are compared with one
@@ -39,16 +41,14 @@ from ferryline.shared import materialize
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 8
-#: Estimates below the threshold by more than this are not verified (4 deviations).
-SLACK = 0.1
 #: Members of a block, and columns of the matrices in which two blocks are compared.
 BLOCK, COLUMNS = 192, 4096
 BATCH_BYTES = 6_000_000
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hash and count of the distinct shingles of a batch, in row order."""
+def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of the distinct shingles of a batch, in row order."""
     w = words_of(texts)
     n = np.diff(w.first)
     every = runs_of_hashes(w.hash, size, _BASE)
@@ -68,25 +68,23 @@ def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     rows, values = rows[order], values[order]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])
-    at = np.flatnonzero(new)
-    return rows[at], values[at], np.diff(np.append(at, len(rows)))
+    return rows[new], values[new]
 
 
 def _uniform(seed: np.ndarray, turn: int, stream: int) -> np.ndarray:
     return mix64(seed + np.uint64((turn * 2 + stream + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
 
 
-def signatures(rows: np.ndarray, values: np.ndarray, counts: np.ndarray, n: int,
+def signatures(rows: np.ndarray, values: np.ndarray, n: int,
                registers: int = BANDS * ROWS) -> np.ndarray:
     """ProbMinHash signatures, an array of n rows; the low bits name the shingle."""
     first = np.full(n * registers, np.uint64(2**64 - 1))
     keep = np.uint64((1 << 24) - 1)
-    rate = 1.0 + np.log(np.maximum(counts, 1))
     seed, time = mix64(values), np.zeros(len(values))
     turn = 0
     while len(rows):
         u = (_uniform(seed, turn, 0) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        time = time - np.log1p(-u) / rate
+        time = time - np.log1p(-u)
         register = (_uniform(seed, turn, 1) >> np.uint64(32)).astype(np.int64) * registers >> 32
         packed = (time.view(np.uint64) & ~keep) | (seed & keep)
         np.minimum.at(first, rows * registers + register, packed)
@@ -95,7 +93,7 @@ def signatures(rows: np.ndarray, values: np.ndarray, counts: np.ndarray, n: int,
         last = (first.reshape(n, registers)[rows[new]].max(axis=1) & ~keep).view(np.float64)
         last = np.where(np.isnan(last), np.inf, last)
         more = time < last[np.cumsum(new) - 1]
-        rows, seed, time, rate = rows[more], seed[more], time[more], rate[more]
+        rows, seed, time = rows[more], seed[more], time[more]
         turn += 1
     return (first & keep).astype(np.uint32).reshape(n, registers)
 
@@ -124,9 +122,9 @@ def sketch(rows: DataFrame) -> DataFrame:
             n = len(texts)
             digests = [hashlib.blake2b(b"\n".join((t or "").encode().split()), digest_size=16).digest()
                        for t in texts.to_pylist()]
-            r, v, c = shingles(texts)
+            r, v = shingles(texts)
             some = np.unique(r)
-            keys = band_keys(signatures(np.searchsorted(some, r), v, c, len(some)))
+            keys = band_keys(signatures(np.searchsorted(some, r), v, len(some)))
             per_row = np.zeros(n, np.int64)
             per_row[some] = keys.shape[1]
             yield pa.RecordBatch.from_arrays(
@@ -137,38 +135,32 @@ def sketch(rows: DataFrame) -> DataFrame:
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
-    """``(uid, shingles, signature)`` for the verification."""
+    """``(uid, shingles, size)`` for the verification."""
 
     def run(batches):
         for batch, texts in _parts(batches):
-            n = len(texts)
-            r, v, c = shingles(texts)
-            low = (signatures(r, v, c, n) & 255).astype(np.uint8)
+            r, v = shingles(texts)
+            sizes = np.bincount(r, minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), list_array(pa.array(signed(v)), np.bincount(r, minlength=n)),
-                 pa.array([x.tobytes() for x in low], pa.binary())], ["uid", "shingles", "signature"])
+                [batch.column("uid"), list_array(pa.array(signed(v)), sizes),
+                 pa.array(sizes, pa.int64())], ["uid", "shingles", "size"])
 
-    return rows.mapInArrow(run, "uid bigint, shingles array<bigint>, signature binary")
+    return rows.mapInArrow(run, "uid bigint, shingles array<bigint>, size bigint")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``(a, b)`` whose shingle sets are alike enough.
 
-    Signatures sort out pairs that are far apart; the sets meet only for the rest.
+    The sets meet unless their sizes alone leave the similarity below the threshold.
     """
 
-    @F.pandas_udf("double")
-    def agreement(x, y):
-        return pd.Series([float(np.mean(np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)))
-                          for p, q in zip(x, y, strict=True)], dtype=float)
-
     def with_side(df: DataFrame, side: str, *columns: str) -> DataFrame:
         other = sets.select(F.col("uid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
         return df.join(other, side)
 
-    likely = with_side(with_side(pairs, "a", "signature"), "b", "signature").where(
-        agreement("signature_a", "signature_b") >= similarity - SLACK).select("a", "b")
-    met = with_side(with_side(materialize(likely, "likely"), "a", "shingles"), "b", "shingles")
+    possible = with_side(with_side(pairs, "a", "size"), "b", "size").where(
+        F.least("size_a", "size_b") >= F.lit(similarity) * F.greatest("size_a", "size_b")).select("a", "b")
+    met = with_side(with_side(materialize(possible, "possible"), "a", "shingles"), "b", "shingles")
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - shared
     return met.where(shared >= F.lit(similarity) * union).select("a", "b")

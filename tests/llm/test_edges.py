@@ -152,6 +152,18 @@ def test_large_group_of_near_copies(docs):
     assert len(wrong) <= 5  # banding misses a pair at the threshold once in 300 times
 
 
+def test_near_copies_with_repeated_lines(docs):
+    """Sets alike at 0.88, counts far apart."""
+    rows = []
+    for k in range(12):
+        text = " ".join(f"t{k}w{i}" for i in range(104))
+        rows += [(2 * k, text), (2 * k + 1, text + f" {' '.join(f'junk{k}x{i}' for i in range(10))}" * 50)]
+    expected = brute.near_classes(rows)
+    assert expected == {i: i // 2 * 2 for i, _ in rows}
+    _, marks = near_dups.near_duplicates(docs(*rows))
+    assert {r.id: r.class_id for r in marks.collect()} == expected
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)]
     got = {r.id: r.label for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
