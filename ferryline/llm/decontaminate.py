@@ -9,6 +9,10 @@ windows found, and slot consistency, the share of the item's slot values that ma
 one value in the row. A verbatim leak maps every value to itself, a re-parameterised
 one to a consistent other value; chance meetings of templates map at random.
 
+A capital is all that tells a name, so every text is searched in a second form too, folded
+to lower case with names as plain words: copies in lower case, in capitals or as a title
+meet the folded windows. An item leaks when either form reaches both figures.
+
 A window with fewer than ``min_literals`` literal words is not searched unless its
 item has no other. Items shorter than the window are searched as one window of their
 own length; items under ``min_words`` words are not searched.
@@ -46,6 +50,8 @@ UNITS = ("mm cm m km in ft yd mi g kg mg t lb oz l ml s ms min h hr hrs sec secs
          "metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram "
          "kilograms liter liters litre litres degree degrees mph kmh hz khz mhz ghz kb mb gb tb "
          "w kw v volt volts watt watts").split()
+#: The two forms of a text: with names as placeholders, or folded to lower case.
+TEMPLATE, FOLDED = 0, 1
 NUMBER, MEASURE, UNIT, NAME = "\x01number", "\x01measure", "\x01unit", "\x01name"
 
 
@@ -53,18 +59,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPLIT, -1), lambda w: w != "")
 
 
-def template(tokens: Column) -> Column:
-    """The hash of each word's template form."""
+def template(tokens: Column, mode: int) -> Column:
+    """The hash of each word's form."""
     digit = F.lit("^[0-9]")
 
     def form(w: Column, i: Column) -> Column:
         first = F.substring(w, 1, 1)
         after_number = F.when(i > 0, F.get(tokens, i - 1).rlike("^[0-9]+$")).otherwise(False)
-        return F.xxhash64(
-            F.when(F.rlike(first, digit), F.when(w.rlike("^[0-9]+$"), NUMBER).otherwise(MEASURE))
-            .when(F.lower(w).isin(UNITS) & after_number, UNIT)
-            .when(F.lower(first) != first, NAME)
-            .otherwise(F.lower(w)))
+        typed = F.when(F.rlike(first, digit), F.when(w.rlike("^[0-9]+$"), NUMBER).otherwise(MEASURE)).when(
+            F.lower(w).isin(UNITS) & after_number, UNIT)
+        if mode == TEMPLATE:
+            typed = typed.when(F.lower(first) != first, NAME)
+        return F.xxhash64(typed.otherwise(F.lower(w)))
 
     return F.transform(tokens, form)
 
@@ -75,28 +81,32 @@ def window_hash(forms: Column, start: Column, length: int) -> Column:
 
 def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, window: int,
                       min_literals: int, min_words: int) -> DataFrame:
-    """Stored ``(item_id, ipos, size, hash, forms, raw, slots, windows)`` of every item."""
+    """Stored ``(item_id, mode, ipos, size, hash, forms, raw, slots, windows)`` of every item and form."""
     slot_hashes = F.array(*[F.xxhash64(F.lit(x)) for x in (NUMBER, MEASURE, UNIT, NAME)])
-    items = numbered(benchmark.where(col(text).isNotNull()), col(item_id).alias("item_id"),
-                     words(col(text)).alias("raw"), only=[], purpose="items")
-    items = items.select(F.col("uid").alias("item"), "item_id", "raw", template(F.col("raw")).alias("forms"))
+    stored = numbered(benchmark.where(col(text).isNotNull()), col(item_id).alias("item_id"),
+                      col(text).alias("body"), only=[], purpose="items")
+    items = None
+    for mode in (TEMPLATE, FOLDED):
+        one = stored.select(F.col("uid").alias("item"), "item_id", F.lit(mode).alias("mode"),
+                            words(F.col("body")).alias("raw")).withColumn("forms", template(F.col("raw"), mode))
+        items = one if items is None else items.unionAll(one)
     items = items.where(F.size("raw") >= min_words).withColumn("size", F.least(F.size("raw"), F.lit(window)))
-    at = items.select("item", "item_id", "size", F.explode(F.sequence(F.lit(0), F.size("raw") - F.col("size"))).alias("ipos"),
+    at = items.select("item", "item_id", "mode", "size", F.explode(F.sequence(F.lit(0), F.size("raw") - F.col("size"))).alias("ipos"),
                       "forms", "raw")
     cut = at.select(
-        "item", "item_id", "ipos", "size",
+        "item", "item_id", "mode", "ipos", "size",
         F.slice("forms", F.col("ipos") + 1, F.col("size")).alias("forms"),
         F.transform(F.slice("raw", F.col("ipos") + 1, F.col("size")), F.lower).alias("raw"),
     ).withColumn("slots", F.filter(F.sequence(F.lit(0), F.col("size") - 1),
                                    lambda k: F.array_contains(slot_hashes, F.get("forms", k))))
     literal = F.col("size") - F.size("slots") >= F.least(F.lit(min_literals), F.col("size"))
-    best = cut.groupBy("item").agg(F.max(literal).alias("any"),
+    best = cut.groupBy("item", "mode").agg(F.max(literal).alias("any"),
                                    F.sum(literal.cast("long")).alias("good"), F.count(F.lit(1)).alias("all"))
     hashes = F.coalesce(*[F.when(F.col("size") == n, window_hash(F.col("forms"), F.lit(0), n))
                           for n in range(min(min_words, window), window + 1)])
     return materialize(
-        cut.join(best, "item").where(literal | ~F.col("any")).select(
-            "item", "item_id", "ipos", "size", hashes.alias("hash"), "forms", "raw", "slots",
+        cut.join(best, ["item", "mode"]).where(literal | ~F.col("any")).select(
+            "item", "item_id", "mode", "ipos", "size", hashes.alias("hash"), "forms", "raw", "slots",
             F.when(F.col("any"), F.col("good")).otherwise(F.col("all")).alias("windows")),
         "benchmark")
 
@@ -116,52 +126,57 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
                keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The stored rows ``(uid, doc)`` and the leaks ``(uid, item, item_id, coverage, consistency)``."""
     index = benchmark_windows(benchmark, item_id, item_text, window, min_literals, min_words)
-    sizes = [r[0] for r in index.select("size").distinct().orderBy("size").collect()]
+    sizes = {TEMPLATE: [], FOLDED: []}
+    for mode, size in index.select("mode", "size").distinct().orderBy("mode", "size").collect():
+        sizes[mode].append(size)
     n = index.count()
     small = n <= BROADCAST_WINDOWS
-    bits = F.lit(_bitmap(index)) if small else None
-
-    tokens = words(col(text))
+    bitmaps = {m: F.lit(_bitmap(index.where(F.col("mode") == m))) for m in sizes if sizes[m]} if small else {}
 
-    def hits(forms: Column, raw: Column, size: int) -> Column:
+    def hits(forms: Column, raw: Column, mode: int, size: int) -> Column:
+        bits = bitmaps.get(mode)
         places = F.when(F.size(forms) >= size, F.sequence(F.lit(0), F.size(forms) - F.lit(size)))
         if bits is not None:
             places = F.filter(places, lambda i: F.substring(
                 bits, F.pmod(window_hash(forms, i, size), F.lit(BITMAP)).cast("int") + 1, F.lit(1)
             ) == F.lit(b"\x01"))
         return F.coalesce(F.transform(places, lambda i: F.struct(
-            i.alias("pos"), F.lit(size).alias("size"), window_hash(forms, i, size).alias("hash"),
+            F.lit(mode).alias("mode"), i.alias("pos"), F.lit(size).alias("size"), window_hash(forms, i, size).alias("hash"),
             F.slice(forms, i + 1, F.lit(size)).alias("forms"),
             F.slice(raw, i + 1, F.lit(size)).alias("raw"))), F.array())
 
-    def found(raw: Column) -> Column:
+    def found(raw: Column, mode: int) -> Column:
         """Words and forms are bound once each, through lambdas over single-element arrays."""
-        forms = F.transform(F.array(raw), lambda r: F.struct(r.alias("raw"), template(r).alias("forms")))
+        forms = F.transform(F.array(raw), lambda r: F.struct(r.alias("raw"), template(r, mode).alias("forms")))
         return F.get(F.transform(forms, lambda x: F.flatten(F.array(
-            *[hits(x["forms"], x["raw"], s) for s in sizes]))), F.lit(0))
+            *[hits(x["forms"], x["raw"], mode, s) for s in sizes[mode]]))), F.lit(0))
 
-    none = F.lit(None).cast("array<struct<pos:int,size:int,hash:bigint,forms:array<bigint>,raw:array<string>>>")
-    rows = numbered(df, (found(tokens) if sizes else none).alias("hits"), only=keep,
+    none = F.lit(None).cast("array<struct<mode:int,pos:int,size:int,hash:bigint,forms:array<bigint>,raw:array<string>>>")
+    both = [found(words(col(text)), m) for m in sizes if sizes[m]]
+    # NULL texts have no hits in either form.
+    rows = numbered(df, (F.concat(*both) if both else none).alias("hits"), only=keep,
                     purpose="decontaminate")
 
     met = rows.select("uid", F.explode("hits").alias("h")).select(
-        "uid", "h.pos", "h.size", "h.hash", F.col("h.forms").alias("their_forms"),
+        "uid", "h.mode", "h.pos", "h.size", "h.hash", F.col("h.forms").alias("their_forms"),
         F.col("h.raw").alias("their_raw"))
     index = F.broadcast(index) if small else index
-    met = met.join(index, ["size", "hash"]).where(F.col("their_forms") == F.col("forms")).select(
-        "uid", "item", "item_id", "windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
+    met = met.join(index, ["mode", "size", "hash"]).where(F.col("their_forms") == F.col("forms")).select(
+        "uid", "item", "item_id", "mode", "windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
         F.transform("slots", lambda k: F.struct(
             F.get("raw", k).alias("ours"), F.lower(F.get("their_raw", k)).alias("theirs"))).alias("pairs"))
     met = materialize(met, "met")
-    covered = met.select("uid", "item", "item_id", "windows", "ipos").distinct().groupBy(
-        "uid", "item", "item_id").agg((F.count(F.lit(1)) / F.first("windows")).alias("coverage"))
-    slots = met.select("uid", "item", "shift", F.explode("pairs").alias("p")).groupBy(
-        "uid", "item", "shift", "p.ours").agg(
+    covered = met.select("uid", "item", "item_id", "mode", "windows", "ipos").distinct().groupBy(
+        "uid", "item", "item_id", "mode").agg((F.count(F.lit(1)) / F.first("windows")).alias("coverage"))
+    slots = met.select("uid", "item", "mode", "shift", F.explode("pairs").alias("p")).groupBy(
+        "uid", "item", "mode", "shift", "p.ours").agg(
         (F.min("p.theirs") == F.max("p.theirs")).cast("double").alias("one"))
-    steady = slots.groupBy("uid", "item").agg(F.avg("one").alias("consistency"))
-    leaks = covered.where(F.col("coverage") >= coverage).join(steady, ["uid", "item"], "left").select(
+    steady = slots.groupBy("uid", "item", "mode").agg(F.avg("one").alias("consistency"))
+    leaks = covered.where(F.col("coverage") >= coverage).join(steady, ["uid", "item", "mode"], "left").select(
         "uid", "item", "item_id", "coverage", F.coalesce("consistency", F.lit(1.0)).alias("consistency"))
-    return rows, leaks.where(F.col("consistency") >= consistency)
+    best = leaks.where(F.col("consistency") >= consistency).groupBy("uid", "item", "item_id").agg(
+        F.max(F.struct("coverage", "consistency")).alias("best"))
+    return rows, best.select("uid", "item", "item_id", "best.coverage", "best.consistency")
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -79,6 +79,13 @@ def test_secrets(docs, empty):
     assert secrets.scan_secrets(empty).count() == 0
 
 
+def test_leaks_in_any_case(spark, docs):
+    item = "When Anna Met Peter In Paris the River Seine was calm and Maria sang for Hugo and Lena"
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    table = docs((1, f"so {item.lower()} end"), (2, f"SO {item.upper()} END"), (3, item), (4, "calm and clear"), (5, None))
+    assert [r.doc_id for r in decontaminate.decontaminate(table, bench).orderBy("doc_id").collect()] == [4, 5]
+
+
 def test_leaks(spark, docs, empty):
     bench = spark.createDataFrame([
         (1, "Anna bought 12 red apples for 30 dollars and gave Anna's brother 12 of those apples yesterday evening"),
