@@ -1,8 +1,9 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Patterns give candidate spans; the digest of each candidate's value is counted over
-the distinct repositories and owners that hold it. A value held by many owners is a
-copied example; one that few owners hold and that looks random is taken for live.
+the distinct repositories and owners that hold it. A value held by many owners, or in
+many repositories of however few owners, is a copied example; one that few hold and that
+looks random is taken for live.
 Long mixed tokens outside the fixed patterns (kind ``bare``) are reported only when
 the counts make them live. Positions come from the lengths of the pieces between
 matches, so everything is built-in functions; counting is three cascaded
@@ -37,6 +38,8 @@ BASE = ("assign", "access", "hex")
 
 #: More owners than this make a value a copied example.
 MAX_OWNERS = 2
+#: More repositories than this do so too, whoever owns them.
+MAX_REPOSITORIES = 10
 #: A live-looking value has at least so many characters and different ones.
 LIVE_CHARS, LIVE_DISTINCT = 16, 8
 
@@ -91,7 +94,8 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 def scan_secrets(df: DataFrame, text: str = "text", owner: str = "source",
                  repository: str = "doc_id", max_owners: int = MAX_OWNERS,
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None,
+                 max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """``doc`` (the columns in ``keep``) and ``spans`` of every row of ``df``.
 
     ``spans`` is an array of structs in order of start and kind: start, kind_no, kind,
@@ -107,7 +111,7 @@ def scan_secrets(df: DataFrame, text: str = "text", owner: str = "source",
     value = F.col("value")
     live_shape = ((F.length(value) >= LIVE_CHARS)
                   & (F.size(F.array_distinct(F.split(value, ""))) >= LIVE_DISTINCT))
-    status = (F.when(F.col("owners") > max_owners, "example")
+    status = (F.when((F.col("owners") > max_owners) | (F.col("repositories") > max_repositories), "example")
               .when(live_shape, "live").otherwise("weak"))
     judged = spans.join(ownership(spans), "digest").select(
         "uid", "kind_no", "kind", "start", "end", status.alias("status"), "owners", "repositories")

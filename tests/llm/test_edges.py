@@ -79,6 +79,15 @@ def test_secrets(docs, empty):
     assert secrets.scan_secrets(empty).count() == 0
 
 
+def test_secret_in_many_documents_of_one_source(docs):
+    copied, rare, bare = "Zk3PqX9vLm2RtY7bWc5NdH8s", "Qm8RtV2wYk5NcJ7xHd4LbP9z", "Ab1" * 6 + "Zk3PqX9vLm2RtY7b"
+    got = secrets.scan_secrets(docs(
+        *[(i, f"token = {copied} then {bare}", "hot") for i in range(40)],
+        *[(100 + i, f"token = {rare}", "hot") for i in range(3)]), keep=["doc_id"]).collect()
+    assert {(s.kind, s.status) for r in got if r["doc"].doc_id < 100 for s in r.spans} == {("assign", "example")}
+    assert {s.status for r in got if r["doc"].doc_id >= 100 for s in r.spans} == {"live"}
+
+
 def test_leaks_in_any_case(spark, docs):
     item = "When Anna Met Peter In Paris the River Seine was calm and Maria sang for Hugo and Lena"
     bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
