@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
-Texts are cut into words; numbers, numbers with a unit, units after a number and
-capitalised words (names) become typed placeholders, other words are lower-cased.
+Texts are cut into words and whole values: a number with its sign, separators and decimals
+is one, and so is a run of capitalised words (a name). Numbers, numbers with a unit, units after
+a number and names become typed placeholders, other words are lower-cased.
 Windows of ``window`` such template words are hashed and joined with the windows of
 the benchmark, so a question whose numbers and names were changed still meets its
 original. For each (row, item) two figures decide: coverage, the share of the item's
@@ -15,7 +16,8 @@ meet the folded windows. An item leaks when either form reaches both figures.
 
 A window with fewer than ``min_literals`` literal words is not searched unless its
 item has no other. Items shorter than the window are searched as one window of their
-own length; items under ``min_words`` words are not searched.
+own length. Items under ``min_words`` words are matched exactly, all words in a row in any
+case; templates of so few words are not searched, as they would meet anything.
 
 The windows of a text stay inside its row: a bitmap of the benchmark's hashes (built
 from the benchmark alone, of fixed size) drops nearly all before anything is exploded,
@@ -42,7 +44,12 @@ BROADCAST_WINDOWS = 200_000
 #: Bytes of the bitmap; benchmarks that fill over half of it pass more windows on.
 BITMAP = 1 << 19
 
-SPLIT = r"[^\p{L}\p{N}]+"
+_NUMBER = r"(?:(?<![\p{L}\p{N}])[+\-\u2212]?\.?)?[0-9]++(?:[.,'\u2019\u00a0\u202f][0-9]++)*+"
+_WORD = r"[\p{L}\p{N}]++"
+_NAME = r"[\p{Lu}\p{Lt}][\p{L}\p{N}]*+"
+# Possessive throughout: a text in capitals is one long run, and must not recurse.
+_NAMES = rf"{_NAME}(?:(?:[\s\u00a0\-]++|['\u2019]){_NAME})*+"
+IS_NUMBER = r"^[+\-\u2212.]*[0-9][0-9.,'\u2019\u00a0\u202f]*$"
 # Unit words that follow a number.
 UNITS = ("mm cm m km in ft yd mi g kg mg t lb oz l ml s ms min h hr hrs sec secs second seconds "
          "minute minutes hour hours day days week weeks month months year years percent "
@@ -55,18 +62,30 @@ TEMPLATE, FOLDED = 0, 1
 NUMBER, MEASURE, UNIT, NAME = "\x01number", "\x01measure", "\x01unit", "\x01name"
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, SPLIT, -1), lambda w: w != "")
+def words(text: Column, mode: int) -> Column:
+    """Words and values; runs of names are one word in templates."""
+    if mode == FOLDED:
+        return F.regexp_extract_all(F.lower(text), F.lit(rf"{_NUMBER}[\p{{L}}\p{{N}}]*+|{_WORD}"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(rf"{_NUMBER}[\p{{L}}\p{{N}}]*+|{_NAMES}|{_WORD}"), F.lit(0))
+
+
+def slot_value(value: Column) -> Column:
+    """A lower-cased slot value: a number without separators, or the last word of a name.
+
+    A run of names can begin with the word that opens a sentence.
+    """
+    return F.when(value.rlike("^[+\\-\u2212.]*[0-9]"), F.regexp_replace(value, "[+,'\u2019\u00a0\u202f]", "")
+                  ).otherwise(F.regexp_extract(value, r"([\p{L}\p{N}]+)$", 1))
 
 
 def template(tokens: Column, mode: int) -> Column:
     """The hash of each word's form."""
-    digit = F.lit("^[0-9]")
+    digit = F.lit(r"^[0-9+\-\u2212.]")
 
     def form(w: Column, i: Column) -> Column:
         first = F.substring(w, 1, 1)
-        after_number = F.when(i > 0, F.get(tokens, i - 1).rlike("^[0-9]+$")).otherwise(False)
-        typed = F.when(F.rlike(first, digit), F.when(w.rlike("^[0-9]+$"), NUMBER).otherwise(MEASURE)).when(
+        after_number = F.when(i > 0, F.get(tokens, i - 1).rlike(IS_NUMBER)).otherwise(False)
+        typed = F.when(F.rlike(first, digit), F.when(w.rlike(IS_NUMBER), NUMBER).otherwise(MEASURE)).when(
             F.lower(w).isin(UNITS) & after_number, UNIT)
         if mode == TEMPLATE:
             typed = typed.when(F.lower(first) != first, NAME)
@@ -81,32 +100,33 @@ def window_hash(forms: Column, start: Column, length: int) -> Column:
 
 def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, window: int,
                       min_literals: int, min_words: int) -> DataFrame:
-    """Stored ``(item_id, mode, ipos, size, hash, forms, raw, slots, windows)`` of every item and form."""
+    """Stored ``(item_id, mode, exact, ipos, size, hash, forms, raw, slots, windows)`` of every item and form."""
     slot_hashes = F.array(*[F.xxhash64(F.lit(x)) for x in (NUMBER, MEASURE, UNIT, NAME)])
     stored = numbered(benchmark.where(col(text).isNotNull()), col(item_id).alias("item_id"),
                       col(text).alias("body"), only=[], purpose="items")
     items = None
     for mode in (TEMPLATE, FOLDED):
         one = stored.select(F.col("uid").alias("item"), "item_id", F.lit(mode).alias("mode"),
-                            words(F.col("body")).alias("raw")).withColumn("forms", template(F.col("raw"), mode))
+                            words(F.col("body"), mode).alias("raw")).withColumn("forms", template(F.col("raw"), mode))
         items = one if items is None else items.unionAll(one)
-    items = items.where(F.size("raw") >= min_words).withColumn("size", F.least(F.size("raw"), F.lit(window)))
-    at = items.select("item", "item_id", "mode", "size", F.explode(F.sequence(F.lit(0), F.size("raw") - F.col("size"))).alias("ipos"),
+    exact = (F.col("mode") == FOLDED) & (F.size("raw") < min_words)
+    items = items.where((F.size("raw") >= min_words) | exact & (F.size("raw") > 0)).withColumn("exact", exact).withColumn("size", F.least(F.size("raw"), F.lit(window)))
+    at = items.select("item", "item_id", "mode", "exact", "size", F.explode(F.sequence(F.lit(0), F.size("raw") - F.col("size"))).alias("ipos"),
                       "forms", "raw")
     cut = at.select(
-        "item", "item_id", "mode", "ipos", "size",
+        "item", "item_id", "mode", "exact", "ipos", "size",
         F.slice("forms", F.col("ipos") + 1, F.col("size")).alias("forms"),
         F.transform(F.slice("raw", F.col("ipos") + 1, F.col("size")), F.lower).alias("raw"),
     ).withColumn("slots", F.filter(F.sequence(F.lit(0), F.col("size") - 1),
                                    lambda k: F.array_contains(slot_hashes, F.get("forms", k))))
-    literal = F.col("size") - F.size("slots") >= F.least(F.lit(min_literals), F.col("size"))
+    literal = F.col("exact") | (F.col("size") - F.size("slots") >= F.least(F.lit(min_literals), F.col("size")))
     best = cut.groupBy("item", "mode").agg(F.max(literal).alias("any"),
                                    F.sum(literal.cast("long")).alias("good"), F.count(F.lit(1)).alias("all"))
     hashes = F.coalesce(*[F.when(F.col("size") == n, window_hash(F.col("forms"), F.lit(0), n))
-                          for n in range(min(min_words, window), window + 1)])
+                          for n in range(1, window + 1)])
     return materialize(
         cut.join(best, ["item", "mode"]).where(literal | ~F.col("any")).select(
-            "item", "item_id", "mode", "ipos", "size", hashes.alias("hash"), "forms", "raw", "slots",
+            "item", "item_id", "mode", "exact", "ipos", "size", hashes.alias("hash"), "forms", "raw", "slots",
             F.when(F.col("any"), F.col("good")).otherwise(F.col("all")).alias("windows")),
         "benchmark")
 
@@ -152,7 +172,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
             *[hits(x["forms"], x["raw"], mode, s) for s in sizes[mode]]))), F.lit(0))
 
     none = F.lit(None).cast("array<struct<mode:int,pos:int,size:int,hash:bigint,forms:array<bigint>,raw:array<string>>>")
-    both = [found(words(col(text)), m) for m in sizes if sizes[m]]
+    both = [found(words(col(text).cast("string"), m), m) for m in sizes if sizes[m]]
     # NULL texts have no hits in either form.
     rows = numbered(df, (F.concat(*both) if both else none).alias("hits"), only=keep,
                     purpose="decontaminate")
@@ -161,10 +181,12 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
         "uid", "h.mode", "h.pos", "h.size", "h.hash", F.col("h.forms").alias("their_forms"),
         F.col("h.raw").alias("their_raw"))
     index = F.broadcast(index) if small else index
-    met = met.join(index, ["mode", "size", "hash"]).where(F.col("their_forms") == F.col("forms")).select(
+    met = met.join(index, ["mode", "size", "hash"]).where(
+        (F.col("their_forms") == F.col("forms")) & (~F.col("exact") | (F.col("their_raw") == F.col("raw")))).select(
         "uid", "item", "item_id", "mode", "windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"),
         F.transform("slots", lambda k: F.struct(
-            F.get("raw", k).alias("ours"), F.lower(F.get("their_raw", k)).alias("theirs"))).alias("pairs"))
+            slot_value(F.get("raw", k)).alias("ours"),
+            slot_value(F.lower(F.get("their_raw", k))).alias("theirs"))).alias("pairs"))
     met = materialize(met, "met")
     covered = met.select("uid", "item", "item_id", "mode", "windows", "ipos").distinct().groupBy(
         "uid", "item", "item_id", "mode").agg((F.count(F.lit(1)) / F.first("windows")).alias("coverage"))

@@ -95,6 +95,22 @@ def test_leaks_in_any_case(spark, docs):
     assert [r.doc_id for r in decontaminate.decontaminate(table, bench).orderBy("doc_id").collect()] == [4, 5]
 
 
+def test_leaks_with_values_of_several_words(spark, docs):
+    bench = spark.createDataFrame([
+        (1, "If Bob paid 300 dollars for 4 old chairs then how much did Bob pay for each of them"),
+        (2, "Define entropy briefly"), (3, "Add 2, 3")], "item_id bigint, text string")
+    asked = "{0} paid {1} dollars for {2} old chairs then how much did {3} pay for each of them"
+    table = docs((1, "If " + asked.format("Mary Ann", "1,250.50", "-6", "Mary Ann")),
+                 (2, "Yesterday. If " + asked.format("O'Neil", "7", "+1.5", "O'Neil") + " now"),
+                 (3, "If " + asked.format("Mary Ann", "1,250", "6", "Peter Lee")),
+                 (4, "please define Entropy: briefly, now"), (5, "define entropy"), (6, "add 2 3"), (7, "add 2 4"),
+                 (8, "ALL CAPITALS " * 20_000))
+    _, leaks = decontaminate.find_leaks(table, bench, keep=["doc_id"])
+    rows = decontaminate.decontaminate(table, bench)
+    assert sorted(r.doc_id for r in rows.collect()) == [3, 5, 7, 8]
+    assert leaks.count() == 4
+
+
 def test_leaks(spark, docs, empty):
     bench = spark.createDataFrame([
         (1, "Anna bought 12 red apples for 30 dollars and gave Anna's brother 12 of those apples yesterday evening"),
