@@ -4,7 +4,6 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
-TESTDATA = os.environ.get("FERRYLINE_TESTDATA", "/root/testdata")
 
 
 @pytest.fixture(scope="session")

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
 
-from conftest import TESTDATA  # noqa: E402
+from paths import TESTDATA  # noqa: E402
 
 SF_DIR = f"{TESTDATA}/{os.environ.get('FERRYLINE_TEST_SF', 'sf0.01')}"
 #: Queries that SQL can express; the operators of the llm package have tests of their own.
