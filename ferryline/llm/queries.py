@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.llm import (
-    decontaminate, fingerprints, html_text, lines, lm_score, mixing, near_dups, secrets, substrings,
-    toxicity,
+    decontaminate, fingerprints, html_text, lines, lm_score, merkle, mixing, near_dups, secrets,
+    substrings, toxicity,
 )
 
 
@@ -101,6 +101,20 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in a manifest by source; texts of fold 0 of 5 are tampered with."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0,
+                      F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    manifest = merkle.build(
+        read(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+        claims={"text": tampered}, keep=["doc_id"])
+    return merkle.audit(manifest).select(
+        "doc.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -111,7 +125,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_template_decontamination, op2_chunk_fingerprints, op3_secret_ownership, op4_pfair_mixing,
     op5_nb_ngram_toxicity, op6_probminhash, op7_subword_lattice, op8_recompression,
-    op9_line_windows, op10_text_density, pipeline)}
+    op9_line_windows, op10_text_density, op11_merkle_manifest, pipeline)}
 
 LINES_SQL = """
     WITH parts AS (
@@ -176,4 +190,63 @@ MIX_SQL = f"""
     FROM ranked r JOIN shares s ON r.source IS NOT DISTINCT FROM s.src
     JOIN places p ON p.rank = s.rank AND p.j = r.block % s.share"""
 
-SQL = {"op4_pfair_mixing": MIX_SQL, "op9_line_windows": LINES_SQL}
+
+def _leaf_sql(text: str) -> str:
+    fields = [f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in (
+        "CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+#: The climb of nodes ``{of}`` (id, tree, idx, fold, path) through ``runs`` of one tree.
+_CLIMB_SQL = """
+        SELECT * FROM {of}
+        UNION ALL
+        SELECT c.doc_id, c.leaf, c.g, c.tree, c.lv + 1, c.idx // 16,
+               sha256(array_to_string(list_transform(r.kids, lambda d, i:
+                   CASE WHEN i - 1 = c.idx % 16 THEN c.fold ELSE d END), '')),
+               c.path || array_to_string(list_filter(r.kids, lambda d, i: i - 1 <> c.idx % 16), '')
+        FROM {name} c JOIN runs r ON c.tree = r.tree AND c.lv = r.lv AND c.idx // 16 = r.run"""
+
+MERKLE_SQL = f"""
+    WITH RECURSIVE crc AS (
+        SELECT doc_id, xor(list_reduce(string_split(CAST(doc_id AS VARCHAR), ''), lambda c, b:
+            list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)),
+                        xor(c, CAST(ascii(b) AS BIGINT))), 4294967295), 4294967295) AS crc
+        FROM (SELECT DISTINCT doc_id FROM documents)),
+    sources AS (
+        SELECT source AS src, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g
+        FROM (SELECT DISTINCT source FROM documents)),
+    leaves AS (
+        SELECT doc_id, g, {_leaf_sql("text")} AS leaf,
+               {_leaf_sql(f"CASE WHEN crc % 5 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END")} AS claim
+        FROM documents JOIN crc USING (doc_id) JOIN sources ON source IS NOT DISTINCT FROM src),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS pos,
+               count(*) OVER (PARTITION BY g) AS n FROM leaves),
+    low AS (
+        SELECT g AS tree, 0 AS lv, pos AS idx, leaf AS d, n AS width FROM placed
+        UNION ALL
+        SELECT tree, lv + 1, idx // 16, sha256(string_agg(d, '' ORDER BY idx)), (width + 15) // 16
+        FROM low WHERE width > 1 GROUP BY tree, lv, idx // 16, width),
+    subroots AS (SELECT tree AS g, d FROM low WHERE width = 1),
+    top AS (
+        SELECT -1 AS tree, 0 AS lv, g AS idx, d, count(*) OVER () AS width FROM subroots
+        UNION ALL
+        SELECT tree, lv + 1, idx // 16, sha256(string_agg(d, '' ORDER BY idx)), (width + 15) // 16
+        FROM top WHERE width > 1 GROUP BY tree, lv, idx // 16, width),
+    runs AS (
+        SELECT tree, lv, idx // 16 AS run, list(d ORDER BY idx) AS kids
+        FROM (SELECT * FROM low UNION ALL SELECT * FROM top) WHERE width > 1 GROUP BY tree, lv, idx // 16),
+    begun AS (SELECT doc_id, leaf, g, g AS tree, 0 AS lv, pos AS idx, claim AS fold, '' AS path FROM placed),
+    climb AS ({_CLIMB_SQL.format(of="begun", name="climb")}),
+    half AS (
+        SELECT doc_id, leaf, g, -1 AS tree, 0 AS lv, g AS idx, fold, path FROM climb
+        QUALIFY lv = max(lv) OVER (PARTITION BY doc_id)),
+    rise AS ({_CLIMB_SQL.format(of="half", name="rise")}),
+    ended AS (SELECT * FROM rise QUALIFY lv = max(lv) OVER (PARTITION BY doc_id)),
+    roots AS (SELECT d AS root FROM top WHERE width = 1)
+    SELECT e.doc_id, e.leaf, s.d AS subroot, root, sha256(e.path) AS proof_sha256,
+           e.fold AS folded_root, e.fold = root AS verified
+    FROM ended e JOIN subroots s ON e.g = s.g CROSS JOIN roots"""
+
+SQL = {"op4_pfair_mixing": MIX_SQL, "op9_line_windows": LINES_SQL, "op11_merkle_manifest": MERKLE_SQL}

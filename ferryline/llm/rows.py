@@ -7,7 +7,7 @@ writing the rows once. Repeated rows therefore stay apart.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.shared import materialize
@@ -39,3 +39,31 @@ def unpacked(columns: list[str], changed: dict[str, Column] | None = None) -> li
     """The columns of ``doc`` at top level again, some of them replaced."""
     new = {k.lower(): v for k, v in (changed or {}).items()}
     return [new.get(c.lower(), F.col("doc").getField(c)).alias(c) for c in columns]
+
+
+def positions(df: DataFrame, by: list[str], order: list[str], purpose: str = "ranked") -> DataFrame:
+    """``df`` with ``pos``, the place from 0 within the rows of equal ``by``, and ``group_rows``, their number.
+
+    Rows are dealt into sorted ranges and stored; counts of each range give the offsets, so
+    no task holds a group as a whole and a hot group is spread over many ranges. NULL comes
+    first, NULL keys are one group; rows that tie in ``order`` come in any order.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*by, *order]
+    spread = materialize(
+        df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+        .withColumn("place", F.monotonically_increasing_id()), purpose, "zstd"
+    ).withColumn("part", F.shiftright("place", 33))
+    spans = spread.groupBy("part", *by).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+    group = Window.partitionBy(*by)
+    before = F.sum("rows").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = spans.select(
+        F.col("part").alias("o_part"), *[F.col(c).alias(f"o_{c}") for c in by],
+        (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"),
+        F.sum("rows").over(group).alias("group_rows"))
+    same = F.col("part") == F.col("o_part")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"o_{c}"))
+    return spread.join(offsets, same).select(
+        *df.columns, (F.col("place") + F.col("shift")).alias("pos"), "group_rows")

@@ -4,9 +4,10 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+if ROOT not in sys.path:
+    sys.path.append(ROOT)  # for corpus_pipeline
 
-SF_DIR = os.environ.get("FERRYLINE_TESTDATA", "/root/testdata") + "/sf0.01"
+from llm_paths import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")

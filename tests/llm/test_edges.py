@@ -300,7 +300,7 @@ def test_density_decides(page, text):
 
 
 def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
-    from conftest import SF_DIR
+    from llm_paths import SF_DIR
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     before = {r.doc_id: r.text for r in docs.collect()}

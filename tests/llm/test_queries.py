@@ -7,7 +7,7 @@ from collections import Counter
 import brute
 import duckdb
 import pytest
-from conftest import SF_DIR
+from llm_paths import SF_DIR
 
 from ferryline.llm.queries import QUERIES, SQL
 
