@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ferryline.llm import (
     decontaminate, fingerprints, html_text, lines, lm_score, merkle, mixing, near_dups, secrets,
-    substrings, toxicity,
+    substrings, top_k, toxicity,
 )
 
 
@@ -115,6 +115,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest inner products of every hundredth vector with all others."""
+    return top_k.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -125,7 +130,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_template_decontamination, op2_chunk_fingerprints, op3_secret_ownership, op4_pfair_mixing,
     op5_nb_ngram_toxicity, op6_probminhash, op7_subword_lattice, op8_recompression,
-    op9_line_windows, op10_text_density, op11_merkle_manifest, pipeline)}
+    op9_line_windows, op10_text_density, op11_merkle_manifest,
+    op12_ball_tree_top_k, pipeline)}
 
 LINES_SQL = """
     WITH parts AS (
@@ -249,4 +255,18 @@ MERKLE_SQL = f"""
            e.fold AS folded_root, e.fold = root AS verified
     FROM ended e JOIN subroots s ON e.g = s.g CROSS JOIN roots"""
 
-SQL = {"op4_pfair_mixing": MIX_SQL, "op9_line_windows": LINES_SQL, "op11_merkle_manifest": MERKLE_SQL}
+TOP_K_SQL = """
+    WITH whole AS (
+        SELECT row_number() OVER () AS row, vec_id,
+               list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+          AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.row <> c.row)
+    SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+    WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER w <= 10"""
+
+SQL = {"op12_ball_tree_top_k": TOP_K_SQL, "op4_pfair_mixing": MIX_SQL, "op9_line_windows": LINES_SQL, "op11_merkle_manifest": MERKLE_SQL}
