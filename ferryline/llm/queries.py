@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferryline.llm import (
-    decontaminate, fingerprints, html_text, lines, lm_score, merkle, mixing, near_dups, secrets,
-    substrings, top_k, toxicity,
+    decontaminate, fingerprints, html_text, lines, lm_score, merkle, mixing, near_dups, phrases,
+    secrets, substrings, top_k, toxicity,
 )
 
 
@@ -120,6 +120,11 @@ def op12_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language by their weakest cut."""
+    return phrases.mine_phrases(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -131,7 +136,7 @@ QUERIES = {q.__name__: q for q in (
     op1_template_decontamination, op2_chunk_fingerprints, op3_secret_ownership, op4_pfair_mixing,
     op5_nb_ngram_toxicity, op6_probminhash, op7_subword_lattice, op8_recompression,
     op9_line_windows, op10_text_density, op11_merkle_manifest,
-    op12_ball_tree_top_k, pipeline)}
+    op12_ball_tree_top_k, op13_phrase_collocations, pipeline)}
 
 LINES_SQL = """
     WITH parts AS (
@@ -269,4 +274,44 @@ TOP_K_SQL = """
     WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
     QUALIFY row_number() OVER w <= 10"""
 
-SQL = {"op12_ball_tree_top_k": TOP_K_SQL, "op4_pfair_mixing": MIX_SQL, "op9_line_windows": LINES_SQL, "op11_merkle_manifest": MERKLE_SQL}
+PHRASES_SQL = f"""
+    WITH pieces AS (
+        SELECT lang, row_number() OVER () AS piece_id, piece FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+    split AS (SELECT lang, piece_id, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    single AS (SELECT lang, piece_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM split),
+    four AS (
+        SELECT lang, a, lead(a, 1) OVER p AS b, lead(a, 2) OVER p AS c, lead(a, 3) OVER p AS d
+        FROM single WINDOW p AS (PARTITION BY lang, piece_id ORDER BY i)),
+    grams AS (
+        SELECT lang, 1 AS k, a AS g FROM four
+        UNION ALL SELECT lang, 2, a || ' ' || b FROM four WHERE b IS NOT NULL
+        UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c FROM four WHERE c IS NOT NULL
+        UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d FROM four WHERE d IS NOT NULL),
+    counts AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY lang, k, g),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+    often AS (SELECT * FROM counts WHERE f >= {phrases.LEAST}),
+    found AS (SELECT lang, g, string_split(g, ' ') AS w, f AS a FROM often WHERE k > 1),
+    halves AS (
+        SELECT lang, g, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, len(w))) AS k FROM found)),
+    cuts AS (
+        SELECT h.lang, h.g, h.a, h.k, l.f AS l, r.f AS r,
+               CAST({phrases.SCALE} * CAST(h.a AS HUGEINT) // (l.f + r.f) AS BIGINT) AS score
+        FROM halves h JOIN often l ON l.lang = h.lang AND l.g = h.head
+        JOIN often r ON r.lang = h.lang AND r.g = h.tail),
+    weakest AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    within AS (
+        SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS g, max(a) AS longer
+        FROM (SELECT *, unnest(range(1, len(w))) AS i FROM found), (VALUES (2), (3)) t(k)
+        WHERE k < len(w) AND i + k - 1 <= len(w) GROUP BY 1, 2),
+    kept AS (
+        SELECT w.* FROM weakest w LEFT JOIN within i ON w.lang = i.lang AND w.g = i.g
+        WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < {phrases.WITHIN} * CAST(a AS HUGEINT))
+    SELECT lang, row_number() OVER p AS rank, g AS phrase, a, l, r, n, score FROM kept JOIN totals USING (lang)
+    WINDOW p AS (PARTITION BY lang ORDER BY score DESC, a DESC, g)
+    QUALIFY row_number() OVER p <= {phrases.TOP}"""
+
+SQL = {"op13_phrase_collocations": PHRASES_SQL, "op12_ball_tree_top_k": TOP_K_SQL, "op4_pfair_mixing": MIX_SQL, "op9_line_windows": LINES_SQL, "op11_merkle_manifest": MERKLE_SQL}
