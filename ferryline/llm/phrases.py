@@ -147,8 +147,8 @@ def count_ngrams(chunks: DataFrame, vocabulary: DataFrame, bits: int, least: int
                     for prefix, f in filters_of(high, low, 2 * bits, step)]
         return _table(out, FILTERS)
 
-    filters = materialize(texts.select("chunk", "lang", "tokens").groupBy("chunk").cogroup(
-        known.groupBy("of_chunk")).applyInArrow(counted, FILTERS_DDL), "filters", "none")
+    filters = texts.select("chunk", "lang", "tokens").groupBy("chunk").cogroup(
+        known.groupBy("of_chunk")).applyInArrow(counted, FILTERS_DDL)
     done = step
     while True:
         owners = -(-owners // FAN)
@@ -159,7 +159,7 @@ def count_ngrams(chunks: DataFrame, vocabulary: DataFrame, bits: int, least: int
                 _merging(bits, least if last else 0, further), COUNTED_DDL if last else FILTERS_DDL)
         if last:
             return materialize(merged, "ngrams", "zstd")
-        filters, done = materialize(merged, "filters", "none"), done + further
+        filters, done = merged, done + further
 
 
 FILTERS_DDL = "lang string, owner bigint, prefix bigint, filter binary"
