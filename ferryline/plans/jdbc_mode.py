@@ -67,7 +67,7 @@ def export_dir(
         publish(read_records(spark, path, fmt), True)
         return None
     opts = _row_wise(opts or LoadOptions())
-    lines = read_lines(spark, path, opts.record_sep)
+    lines = read_lines(spark, path, opts.record_sep, provenance=bool((opts.rejects_path or "").strip()))
     schema = check_target(spark, target, schema, tables_only=False)
     return load_lines(spark, lines, schema, publish, opts, location=path)
 

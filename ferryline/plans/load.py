@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
@@ -16,19 +17,24 @@ from ferryline.errors import RejectBudgetExceeded
 from ferryline.functions.names import quote_column
 from ferryline.operators.decode import RAW, decode, rejected
 from ferryline.operators.encode import VALUE, encode
-from ferryline.operators.rules import REJECT_REASON
+from ferryline.operators.rules import REJECT_COLUMN, REJECT_REASON
 from ferryline.options import LoadOptions, UnloadOptions, check_direct
 from ferryline.plans import report
+from ferryline.plans.watch import BudgetReached, RejectWatch
 from ferryline.shared import delete_path, new_path
 from ferryline.sinks.target import Directory, append
 from ferryline.sources.records import read_records
 from ferryline.sources.table import Table
-from ferryline.sources.text import read_lines
+from ferryline.sources.text import PROVENANCE, read_lines
 
 
+#: Rejected lines that are looked up and stored after a job was stopped early.
+STOPPED_REJECTS = 10_000
+
 #: Takes the accepted rows and whether they read a stored table.
 Publish = Callable[[DataFrame, bool], None]
 
+_IS_REJECT = "_is_reject"
 _REJECTED = "a line was rejected and the budget is one"
 
 
@@ -45,23 +51,58 @@ class Stage:
             *map(quote_column, self.schema.names))
 
     def rejected(self) -> DataFrame:
-        return rejected(self.rows)
+        return rejected(self.rows, _provenance(self.rows))
+
+
+def _provenance(lines: DataFrame) -> list[str]:
+    """The columns that tell where a line comes from, if it carries them."""
+    return [c for c in PROVENANCE if c in lines.columns]
 
 
 def stage(
-    spark: SparkSession, lines: DataFrame, schema: T.StructType, opts: LoadOptions
+    spark: SparkSession, lines: DataFrame, schema: T.StructType, opts: LoadOptions,
+    watch: RejectWatch | None = None,
 ) -> Stage:
     """Decode ``lines`` and store the result in one pass without a shuffle.
 
-    Raw text is kept for rejected lines only, so the stage costs little more
+    Raw text and provenance are kept for rejected lines only, so the stage costs little more
     than the typed columns, and row groups without rejects are skipped when the
-    rejects are read.
+    rejects are read. With a ``watch`` the pass ends as soon as the budget is reached.
     """
-    decoded = decode(lines, schema, opts)
+    decoded = decode(lines, schema, opts, keep=_provenance(lines))
     path = new_path(spark, "load")
-    _store(spark, decoded.withColumn(
-        RAW, F.when(F.col(REJECT_REASON).isNotNull(), F.col(RAW))), path)
-    return Stage(spark.read.schema(decoded.schema).parquet(path), schema, path)
+    is_reject = F.col(REJECT_REASON).isNotNull()
+    kept = decoded.withColumn(_IS_REJECT, watch.counted(is_reject) if watch else is_reject).withColumns({
+        c: F.when(F.col(_IS_REJECT), F.col(c))
+        for c in (RAW, REJECT_COLUMN, REJECT_REASON, *_provenance(lines))
+    }).drop(_IS_REJECT)
+    if watch is None:
+        _store(spark, kept, path)
+    else:
+        watch.run(lambda: _store(spark, kept, path))
+    return Stage(spark.read.schema(kept.schema).parquet(path), schema, path)
+
+
+def _stopped(
+    spark: SparkSession, lines: DataFrame, schema: T.StructType, opts: LoadOptions,
+    watch: RejectWatch, load_id: str, location: str,
+) -> RejectBudgetExceeded:
+    """Report a job that was stopped: its first rejects, looked up partition by partition.
+
+    Spark reads ever more partitions until it has as many rejected lines as the budget (at most
+    ``STOPPED_REJECTS``), so this ends where the stopped job has been. The summary counts
+    the lines that were stored; ``rows_read`` is what the tasks that ended have read.
+    """
+    bad = decode(lines, schema, opts, keep=_provenance(lines))
+    found = rejected(bad, _provenance(lines)).limit(min(opts.max_errors, STOPPED_REJECTS))
+    first = spark.createDataFrame(found.collect(), found.schema)
+    counts = Counter(r["reason"] for r in first.select("reason").collect())
+    n = sum(counts.values())
+    summary = report.summary(load_id, location, max(watch.read, n), dict(counts), True)
+    report.write_rejects(first, opts.rejects_path, load_id)
+    report.write_summary(spark, summary, opts.rejects_path)
+    return RejectBudgetExceeded(
+        f"stopped after {max(watch.rejected, n)} rejected lines, max_errors is {opts.max_errors}", summary)
 
 
 def _store(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -77,7 +118,7 @@ def _rejects_only(
 ) -> tuple[Stage, int]:
     """The rejected lines, stored, and the number of all lines; one pass, nothing else kept."""
     counts = Observation("rejects")
-    decoded = decode(lines, schema, opts, observation=counts)
+    decoded = decode(lines, schema, opts, keep=_provenance(lines), observation=counts)
     path = new_path(spark, "rejects")
     _store(spark, decoded.where(F.col(REJECT_REASON).isNotNull()), path)
     return Stage(spark.read.schema(decoded.schema).parquet(path), schema, path), counts.get["read"]
@@ -98,7 +139,8 @@ def load_lines(
     the default budget the first rejected line fails the job, so clean input is
     read and written once. Any other budget needs the number of rejects before
     the target is touched: the decoded lines are stored, counted by reading one
-    column of what was actually stored, and then published from there. After a
+    column of what was actually stored, and then published from there. Rejects are counted
+    while that job runs too (:class:`RejectWatch`), which stops it once the budget is reached. After a
     failure of the default budget one more pass stores the rejected lines alone, for
     the report. Rejects and summary are written in either case.
     """
@@ -119,7 +161,11 @@ def load_lines(
     if opts.max_errors == 1:
         staged, total = _rejects_only(spark, lines, schema, opts)
     else:
-        staged = stage(spark, lines, schema, opts)
+        watch = RejectWatch(spark, opts.max_errors)
+        try:
+            staged = stage(spark, lines, schema, opts, watch)
+        except BudgetReached:
+            raise _stopped(spark, lines, schema, opts, watch, load_id, location) from None
     reasons = staged.rows.groupBy(F.col(REJECT_REASON).alias("reason"))
     counts = {r["reason"]: r["count"] for r in reasons.count().collect()}
     total = sum(counts.values()) if total is None else total
@@ -176,7 +222,7 @@ def load(
     check_direct(opts, layout=layout, mode=mode)
     publish = _publisher(spark, target, schema, max_connections, batch_size)
     schema = check_target(spark, target, schema)
-    lines = read_lines(spark, path, opts.record_sep)
+    lines = read_lines(spark, path, opts.record_sep, provenance=bool((opts.rejects_path or "").strip()))
     return load_lines(spark, lines, schema, publish, opts, location=path)
 
 

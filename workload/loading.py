@@ -203,6 +203,24 @@ def rejected_rows(spark, sf_dir):
     ).select("raw", "column", "reason")
 
 
+def rejects_by_file(spark, sf_dir):
+    """Rejects of two files; each tells its file, where the task's block began, and the partition."""
+    path, target, shared = new_path(spark, "text"), new_path(spark, "target"), new_path(spark, "rejects")
+    lines = corrupt_lineitem(spark, sf_dir)
+    is_first = F.substring_index("value", ",", 1).try_cast("bigint") % 2 == 0
+    lines.where(F.coalesce(is_first, F.lit(True))).coalesce(1).write.text(f"{path}/first")
+    lines.where(~F.coalesce(is_first, F.lit(True))).coalesce(1).write.text(f"{path}/second")
+    opts = LoadOptions(max_errors=lines.count() + 1, rejects_path=shared)
+    load(spark, f"{path}/*", Directory(target), opts, schema=_ddl(LINEITEM))
+    rejects = spark.read.schema(
+        "reason string, _source_file string, _source_block bigint, _source_partition int"
+    ).json(f"{shared}/rejects")
+    folder = F.element_at(F.split("_source_file", "/"), -2)
+    return rejects.groupBy(folder.alias("folder"), "reason").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("_source_block").alias("first_block"),
+        F.bool_and(F.col("_source_partition") >= 0).alias("has_partition"))
+
+
 def load_summary(spark, sf_dir):
     _, shared = _load_corrupt(spark, sf_dir)
     log = spark.read.schema(
@@ -259,7 +277,8 @@ def round_trip_styles(spark, sf_dir):
 LOADS = [
     decode_fields, decode_nulls, decode_bool, decode_typed, decode_typed_rejects, decode_time,
     truncate_varchar, decode_arity, ctrlchars_policy, text_load, record_export,
-    utf8_roundtrip, load_lineitem, load_with_budget, rejected_rows, load_summary, bulk_load_append,
+    utf8_roundtrip, load_lineitem, load_with_budget, rejected_rows, rejects_by_file,
+    load_summary, bulk_load_append,
     update_customers, update_hot_keys, round_trip_styles,
 ]
 
@@ -339,6 +358,13 @@ LOAD_SQL = {
                l_returnflag, l_linestatus, l_shipdate FROM lineitem""",
     "load_with_budget": _GOOD_LINES,
     "rejected_rows": _BAD_LINES,
+    "rejects_by_file": r"""
+        SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'first' ELSE 'second' END AS folder,
+               CASE pick WHEN 0 THEN 'invalid_integer' WHEN 300 THEN 'invalid_timestamp'
+                    ELSE 'invalid_decimal' END AS reason,
+               count(*) AS row_count, CAST(0 AS BIGINT) AS first_block, true AS has_partition
+        FROM (SELECT *, (l_orderkey + l_linenumber) % 400 AS pick FROM lineitem)
+        WHERE pick % 100 = 0 GROUP BY 1, 2""",
     "load_summary": r"""
         SELECT count(*) AS rows_read, count(*) FILTER (pick % 100 <> 0) AS rows_loaded,
                count(*) FILTER (pick % 100 = 0) AS rows_rejected, false AS aborted,
