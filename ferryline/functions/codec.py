@@ -53,7 +53,7 @@ def escape_text(text: Column, delim: str, newline_policy: str = "reject") -> Col
     if newline_policy == "space":
         for end in "\r\n":
             text = F.replace(text, F.lit(end), F.lit(" "))
-    elif newline_policy == "escape":
+    elif newline_policy in ("escape", "continue"):
         for end in "\r\n":
             text = F.replace(text, F.lit(end), F.lit(ESCAPE + end))
     return text

@@ -11,7 +11,7 @@ from ferryline.functions.tokens import deescape_token
 
 ESCAPE = "\\"
 DEFAULT_NULL_TOKEN = "null"
-NEWLINE_POLICIES = ("reject", "space", "escape")
+NEWLINE_POLICIES = ("reject", "space", "escape", "continue")
 
 # The text written and read for each boolean style.
 BOOL_STYLES = {
@@ -100,7 +100,8 @@ class UnloadOptions(_TokenMixin):
     null_non_string: str | None = None
     bool_style: str = "T_F"
     ctrl_chars: bool = False
-    #: what to do with CR/LF inside a string: reject the row, write a blank, or escape
+    #: what to do with CR/LF inside a string: reject the row, write a blank, escape (with a
+    #: record_sep of its own), or escape and let the record go on in the next line
     newline_policy: str = "reject"
     record_sep: str = "\n"
     max_errors: int = 1
@@ -118,6 +119,8 @@ class UnloadOptions(_TokenMixin):
             raise ValueError(f"newline_policy must be one of {NEWLINE_POLICIES}")
         if self.newline_policy == "escape" and self.record_sep == "\n":
             raise ValueError("newline_policy='escape' needs a record_sep other than LF")
+        if self.newline_policy == "continue" and self.record_sep != "\n":
+            raise ValueError("newline_policy='continue' needs LF as record_sep")
 
 
 @dataclass(frozen=True)
@@ -135,9 +138,13 @@ class LoadOptions(_TokenMixin):
     record_sep: str = "\n"
     max_errors: int = 1
     rejects_path: str | None = None
+    #: records may go on after an escaped LF (newline_policy "continue")
+    continued_lines: bool = False
 
     def __post_init__(self):
         _check_common(self)
+        if self.continued_lines and self.record_sep != "\n":
+            raise ValueError("continued_lines needs LF as record_sep")
 
 
 @dataclass(frozen=True)

@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ferryline.options import DEFAULT_NULL_TOKEN, LoadOptions, UnloadOptions
-from ferryline.plans.load import check_target, load_lines
+from ferryline.plans.load import check_target, load_lines, read_records_of_text
 from ferryline.plans.unload import unload
 from ferryline.sinks import jdbc
 from ferryline.sinks.target import Directory, append
 from ferryline.sources.records import RECORD_FORMATS, read_records
 from ferryline.sources.table import Table
-from ferryline.sources.text import read_lines
 
 
 def import_rows(df: DataFrame, path: str, fmt: str = "text",
@@ -67,7 +66,7 @@ def export_dir(
         publish(read_records(spark, path, fmt), True)
         return None
     opts = _row_wise(opts or LoadOptions())
-    lines = read_lines(spark, path, opts.record_sep, provenance=bool((opts.rejects_path or "").strip()))
+    lines = read_records_of_text(spark, path, opts)
     schema = check_target(spark, target, schema, tables_only=False)
     return load_lines(spark, lines, schema, publish, opts, location=path)
 

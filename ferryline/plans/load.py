@@ -23,6 +23,7 @@ from ferryline.plans import report
 from ferryline.plans.watch import BudgetReached, RejectWatch
 from ferryline.shared import delete_path, new_path
 from ferryline.sinks.target import Directory, append
+from ferryline.sources.continued import read_continued
 from ferryline.sources.records import read_records
 from ferryline.sources.table import Table
 from ferryline.sources.text import PROVENANCE, read_lines
@@ -222,10 +223,18 @@ def load(
     check_direct(opts, layout=layout, mode=mode)
     publish = _publisher(spark, target, schema, max_connections, batch_size)
     schema = check_target(spark, target, schema)
-    lines = read_lines(spark, path, opts.record_sep, provenance=bool((opts.rejects_path or "").strip()))
+    lines = read_records_of_text(spark, path, opts)
     return load_lines(spark, lines, schema, publish, opts, location=path)
 
 
+def read_records_of_text(spark: SparkSession, path: str, opts: LoadOptions) -> DataFrame:
+    """The lines or continued lines of a load, with their provenance where rejects are stored."""
+    provenance = bool((opts.rejects_path or "").strip())
+    if opts.continued_lines:
+        return read_continued(spark, path, provenance=provenance)
+    return read_lines(spark, path, opts.record_sep, provenance=provenance)
+
+
 def load_records(
     spark: SparkSession,
     path: str,

@@ -175,6 +175,17 @@ def utf8_roundtrip(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def escaped_newline_load(spark, sf_dir):
+    """Texts with line feeds in files of LF-separated records."""
+    path, target = new_path(spark, "unload"), new_path(spark, "target")
+    docs = read(spark, sf_dir, "documents").withColumn(
+        "text", F.concat("text", F.when(F.col("doc_id") % 3 == 0, "\n\\").when(F.col("doc_id") % 3 == 1, "\\\n\r\n")
+                         .otherwise("")))
+    unload(docs, path, UnloadOptions(newline_policy="continue", null_string="\\\\N"))
+    load(spark, path, Directory(target), LoadOptions(continued_lines=True, null_string="\\\\N"), schema=docs.schema)
+    return spark.read.parquet(target)
+
+
 def load_lineitem(spark, sf_dir):
     path, target = new_path(spark, "unload"), new_path(spark, "target")
     unload(lineitem(spark, sf_dir), path)
@@ -277,7 +288,7 @@ def round_trip_styles(spark, sf_dir):
 LOADS = [
     decode_fields, decode_nulls, decode_bool, decode_typed, decode_typed_rejects, decode_time,
     truncate_varchar, decode_arity, ctrlchars_policy, text_load, record_export,
-    utf8_roundtrip, load_lineitem, load_with_budget, rejected_rows, rejects_by_file,
+    utf8_roundtrip, escaped_newline_load, load_lineitem, load_with_budget, rejected_rows, rejects_by_file,
     load_summary, bulk_load_append,
     update_customers, update_hot_keys, round_trip_styles,
 ]
@@ -353,6 +364,10 @@ LOAD_SQL = {
         SELECT p_partkey, p_name, p_type, p_size,
                CAST(p_retailprice AS DECIMAL(18,4)) AS p_retailprice FROM part""",
     "utf8_roundtrip": "SELECT * FROM documents",
+    "escaped_newline_load": r"""
+        SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN chr(10) || '\'
+                   WHEN 1 THEN '\' || chr(10) || chr(13) || chr(10) ELSE '' END AS text,
+               lang, source, n_chars FROM documents""",
     "load_lineitem": f"""
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {_DECIMALS},
                l_returnflag, l_linestatus, l_shipdate FROM lineitem""",
