@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ferryline import bounds, incremental, slice_df
-from ferryline.operators.slices import exact_row, range_slice_number
+from ferryline.operators.slices import (
+    exact_row, quantile_cuts, quantile_slice_number, range_slice_number,
+)
 from ferryline.sources.catalog import query_rows, select_rows
 from workload.tables import lineitem, orders, read
 
@@ -100,6 +103,40 @@ def slice_and_where_or(spark, sf_dir):
     return slice_df(rows, "o_orderkey", 3)
 
 
+def quantile_sliced_scan(spark, sf_dir):
+    """Sixteen slices of a skewed key: squares, and a third of all rows with one value."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey") * F.col("l_orderkey"))
+    items = lineitem(spark, sf_dir).withColumn("k", key)
+    cuts = quantile_cuts(items, "k", 16)
+    number = quantile_slice_number(items, "k", cuts, spread_by=["l_orderkey", "l_linenumber"])
+    per_slice = items.groupBy(number.alias("slice")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").alias("price"),
+        F.min("k").alias("first_key"), F.max("k").alias("last_key"))
+    after = F.lead("first_key").over(Window.orderBy("slice"))  # sixteen rows
+    return per_slice.withColumn("after", after).agg(
+        F.count(F.lit(1)).alias("slice_count"),
+        F.sum("n").alias("row_count"),
+        F.sum("price").cast("decimal(38,4)").alias("price"),
+        (F.max("n") * F.lit(16) < F.sum("n") * 2).alias("under_twice_the_mean"),
+        F.bool_and(F.coalesce(F.col("last_key") <= F.col("after"), F.lit(True))).alias("in_order"))
+
+
+def text_sliced_scan(spark, sf_dir):
+    """Ranges of names: where each name belongs, as its text alone decides."""
+    part = read(spark, sf_dir, "part")
+    lo, hi = bounds(part, "p_name").first()
+    number = range_slice_number(F.col("p_name"), lo, hi, 8, part.schema["p_name"].dataType)
+    per_slice = part.groupBy(number.alias("slice")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("p_name").alias("first_name"), F.max("p_name").alias("last_name"),
+        F.sum("p_size").alias("sizes"))
+    after = F.lead("first_name").over(Window.orderBy("slice"))  # eight rows
+    return per_slice.withColumn("after", after).agg(
+        (F.count(F.lit(1)) > 1).alias("several"),
+        F.sum("n").alias("row_count"), F.sum("sizes").alias("sizes"),
+        F.min("first_name").alias("first_name"), F.max("last_name").alias("last_name"),
+        F.bool_and(F.coalesce(F.col("last_name") < F.col("after"), F.lit(True))).alias("disjoint"))
+
+
 def incremental_append(spark, sf_dir):
     events = read(spark, sf_dir, "events")
     lo, hi = bounds(events, "event_id").first()
@@ -116,7 +153,7 @@ def incremental_lastmodified(spark, sf_dir):
 
 SCANS = [
     sliced_scan, sliced_scan_signed_keys, hashed_slices, range_sliced_scan,
-    range_sliced_timestamps, split_bounds,
+    range_sliced_timestamps, quantile_sliced_scan, text_sliced_scan, split_bounds,
     query_scan, project_columns, select_all, where_filter, slice_and_where_or,
     incremental_append, incremental_lastmodified,
 ]
@@ -148,6 +185,15 @@ SCAN_SQL = {
             + (epoch_us(ts) >= round_even(lo + (hi - lo) * 2 / 4.0, 0))::INT
             + (epoch_us(ts) >= round_even(lo + (hi - lo) * 3 / 4.0, 0))::INT AS INTEGER) AS slice
         FROM events, b""",
+    "quantile_sliced_scan": """
+        SELECT CAST(16 AS BIGINT) AS slice_count, count(*) AS row_count,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS price,
+               true AS under_twice_the_mean, true AS in_order
+        FROM lineitem""",
+    "text_sliced_scan": """
+        SELECT true AS several, count(*) AS row_count, CAST(sum(p_size) AS BIGINT) AS sizes,
+               min(p_name) AS first_name, max(p_name) AS last_name, true AS disjoint
+        FROM part""",
     "split_bounds": "SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders",
     "query_scan": QUERY_TEXT.format(orders="orders", lineitem="lineitem"),
     "project_columns": "SELECT l_shipdate, l_returnflag, l_orderkey FROM lineitem",
