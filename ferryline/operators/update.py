@@ -104,6 +104,19 @@ def updated_by_key(
         yield _applied(target, unique, list(keys), values)
 
 
+def unique_changes(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`one_row_per_key` after the checks of an update."""
+    _values(target, changes, keys, order_by)
+    return one_row_per_key(changes, keys, order_by)
+
+
+def updated_rows(target: DataFrame, unique: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``target`` with the values of changes that are unique by key already."""
+    return _applied(target, unique, list(keys), [c for c in unique.columns if c not in keys])
+
+
 def _values(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 ) -> list[str]:

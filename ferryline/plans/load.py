@@ -22,6 +22,8 @@ from ferryline.options import LoadOptions, UnloadOptions, check_direct
 from ferryline.plans import report
 from ferryline.plans.watch import BudgetReached, RejectWatch
 from ferryline.shared import delete_path, new_path
+from ferryline.sinks.published import Published
+from ferryline.sinks.published import publish as publish_rows
 from ferryline.sinks.target import Directory, append
 from ferryline.sources.continued import read_continued
 from ferryline.sources.records import read_records
@@ -133,6 +135,7 @@ def load_lines(
     opts: LoadOptions | None = None,
     *,
     location: str = "",
+    load_id: str | None = None,
 ) -> dict:
     """Decode, check the budget, publish the accepted rows.
 
@@ -146,7 +149,7 @@ def load_lines(
     the report. Rejects and summary are written in either case.
     """
     opts = opts or LoadOptions()
-    load_id = uuid.uuid4().hex
+    load_id = load_id or uuid.uuid4().hex
     if opts.max_errors == 1:
         try:
             read = _publish_clean(lines, schema, publish, opts)
@@ -205,7 +208,7 @@ def _publish_clean(
 def load(
     spark: SparkSession,
     path: str,
-    target: Table | Directory,
+    target: Table | Directory | Published,
     opts: LoadOptions | None = None,
     *,
     schema: T.StructType | None = None,
@@ -213,18 +216,29 @@ def load(
     mode: str = "append",
     max_connections: int = 32,
     batch_size: int = 1000,
+    load_id: str | None = None,
 ) -> dict:
     """Direct transfer of a text directory into a table.
 
     Fields bind to the target's columns by position; ``schema`` is needed only
-    for a directory target or to declare narrower columns than the catalog.
+    for a directory target or to declare narrower columns than the catalog. A load into a
+    ``Published`` directory needs a ``load_id``; if that id is there already, nothing is read or added.
     """
     opts = opts or LoadOptions()
     check_direct(opts, layout=layout, mode=mode)
-    publish = _publisher(spark, target, schema, max_connections, batch_size)
+    if isinstance(target, Published):
+        if load_id is None:
+            raise ValueError("a load into a published directory needs a load_id")
+        if target.has(spark, load_id):
+            return report.summary(load_id, path, 0, {}, False)
+
+        def publish(rows: DataFrame, stored: bool) -> None:
+            publish_rows(rows, target, load_id)
+    else:
+        publish = _publisher(spark, target, schema, max_connections, batch_size)
     schema = check_target(spark, target, schema)
     lines = read_records_of_text(spark, path, opts)
-    return load_lines(spark, lines, schema, publish, opts, location=path)
+    return load_lines(spark, lines, schema, publish, opts, location=path, load_id=load_id)
 
 
 def read_records_of_text(spark: SparkSession, path: str, opts: LoadOptions) -> DataFrame:
@@ -291,13 +305,13 @@ def record_lines(records: DataFrame, opts: LoadOptions) -> DataFrame:
 
 def check_target(
     spark: SparkSession,
-    target: Table | Directory,
+    target: Table | Directory | Published,
     schema: T.StructType | None,
     *,
     tables_only: bool = True,
 ) -> T.StructType:
     """The schema that fields bind to, after checking it against the target."""
-    if isinstance(target, Directory):
+    if isinstance(target, (Directory, Published)):
         if schema is None:
             raise ValueError("a directory target needs a schema")
         return schema

@@ -79,3 +79,53 @@ def exists(spark: SparkSession, path: str) -> bool:
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename in one step unless ``target`` exists; whether it was done.
+
+    File systems with atomic renames let one of several callers win.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(
+        hadoop.Path(target).toUri() if "://" in target else hadoop.Path(target).getFileSystem(
+            spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").NONE
+    try:
+        context.rename(hadoop.Path(source), hadoop.Path(target), options)
+    except Exception:
+        if exists(spark, target):
+            return False
+        raise
+    return True
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    target, fs = _file_system(spark, path)
+    fs.mkdirs(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; none if there is no such directory."""
+    target, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of this library's own."""
+    target, fs = _file_system(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, fs = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()

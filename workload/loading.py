@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline import (
-    Directory, LoadOptions, UnloadOptions, accepted, decode, encode, load, load_records,
-    rejected, time_field, unload, update_by_key,
+    Directory, LoadOptions, Published, UnloadOptions, accepted, decode, encode, load, load_records,
+    rejected, time_field, unload, update_by_key, update_files,
 )
 from ferryline.shared import new_path
 from workload.tables import ESCAPED_ENDS, ESCAPED_ENDS_IN, lineitem, money, orders, read
@@ -268,6 +268,31 @@ def update_customers(spark, sf_dir):
     )
 
 
+def published_load(spark, sf_dir):
+    """Two loads by their ids; the first is repeated, which adds nothing."""
+    target = Published(new_path(spark, "published"))
+    rows = orders(spark, sf_dir)
+    parts = {"day-1": rows.where("o_orderkey % 2 = 0"), "day-2": rows.where("o_orderkey % 2 = 1")}
+    for load_id in ("day-1", "day-2", "day-1"):
+        path = new_path(spark, "text")
+        unload(parts[load_id], path)
+        load(spark, path, target, schema=rows.schema, load_id=load_id)
+    return target.read(spark, rows.schema)
+
+
+def update_touched_files(spark, sf_dir):
+    """Customers in 16 files by key; the changes are about the first third of the keys."""
+    path = new_path(spark, "files")
+    customers = read(spark, sf_dir, "customer")
+    customers.repartitionByRange(16, "c_custkey").write.parquet(path)
+    (most,) = customers.agg(F.max("c_custkey")).first()
+    changes = read(spark, sf_dir, "orders").where(F.col("o_custkey") * 3 <= most).select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"),
+        "o_orderdate", "o_orderkey")
+    update_files(spark, path, changes, ["c_custkey"], order_by=["o_orderdate", "o_orderkey"])
+    return spark.read.parquet(path)
+
+
 def update_hot_keys(spark, sf_dir):
     items = lineitem(spark, sf_dir)
     changes = items.groupBy("l_returnflag", "l_linestatus").agg(
@@ -290,7 +315,7 @@ LOADS = [
     truncate_varchar, decode_arity, ctrlchars_policy, text_load, record_export,
     utf8_roundtrip, escaped_newline_load, load_lineitem, load_with_budget, rejected_rows, rejects_by_file,
     load_summary, bulk_load_append,
-    update_customers, update_hot_keys, round_trip_styles,
+    published_load, update_touched_files, update_customers, update_hot_keys, round_trip_styles,
 ]
 
 _ORDERS = """o_orderkey, o_custkey, o_orderstatus,
@@ -401,6 +426,15 @@ LOAD_SQL = {
                  WHEN o_orderstatus <> 'F' THEN o_totalprice END AS c_acctbal,
             CASE WHEN o_custkey IS NULL THEN c_mktsegment ELSE o_orderpriority END AS c_mktsegment
         FROM customer LEFT JOIN last ON o_custkey = c_custkey AND rn = 1""",
+    "published_load": f"SELECT {_ORDERS} FROM orders",
+    "update_touched_files": r"""
+        WITH last AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+            FROM orders WHERE o_custkey * 3 <= (SELECT max(c_custkey) FROM customer))
+        SELECT c_custkey, c_name, c_nationkey,
+            CASE WHEN o_custkey IS NULL THEN c_acctbal ELSE o_totalprice END AS c_acctbal, c_mktsegment
+        FROM customer LEFT JOIN last ON o_custkey = c_custkey AND rn = 1""",
     "update_hot_keys": f"""
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {_DECIMALS},
             l_returnflag, l_linestatus,
