@@ -57,6 +57,7 @@ def decode(
         *keep, F.col(line).alias(RAW), codec.is_marked(F.col(line), delim, sep).alias(_MARKED)
     ).select("*", codec.raw_fields(raw, marked, delim, sep).alias(_FIELDS))
     rules = [
+        Rule(None, "invalid_utf8", ~F.is_valid_utf8(raw)),
         Rule(None, "dangling_escape", codec.dangling_escape(raw)),
         Rule(None, "line_end", codec.bare_line_end(raw)),
         Rule(None, "field_count", F.size(_FIELDS) != len(types)),
@@ -130,10 +131,13 @@ def accepted(decoded: DataFrame, schema: T.StructType, keep: Sequence[str] = ())
 
 
 def rejected(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """The raw lines that failed, with the column and the reason."""
+    """The raw lines that failed, with the column and the reason.
+
+    Bytes that are no UTF-8 are shown as U+FFFD, so that rejects can be stored as text.
+    """
     return decoded.where(F.col(REJECT_REASON).isNotNull()).select(
         *keep,
-        F.col(RAW).alias("raw"),
+        F.make_valid_utf8(RAW).alias("raw"),
         F.col(REJECT_COLUMN).alias("column"),
         F.col(REJECT_REASON).alias("reason"),
     )

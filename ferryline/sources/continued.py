@@ -36,22 +36,22 @@ _PIECES = f"value string, {_FILE} string, {_BLOCK} bigint, {_PARTITION} int, _pl
 
 
 def is_continued(lines: pa.Array) -> np.ndarray:
-    """Which lines end in an odd number of backslashes; only those ending in one are looked at."""
-    ends = pc.ends_with(lines, "\\").to_numpy(zero_copy_only=False).astype(bool)
+    """Which lines (bytes) end in an odd number of backslashes; only those ending in one are looked at."""
+    ends = pc.ends_with(lines, b"\\").to_numpy(zero_copy_only=False).astype(bool)
     for i in np.flatnonzero(ends):
         line = lines[int(i)].as_py()
-        ends[i] = (len(line) - len(line.rstrip("\\"))) % 2 == 1
+        ends[i] = (len(line) - len(line.rstrip(b"\\"))) % 2 == 1
     return ends
 
 
 class _Block:
-    """The lines of one block, in order, as they come."""
+    """The lines of one block, in order, as they come; bytes, which need not be UTF-8."""
 
     def __init__(self, file: str, start: int, partition: int):
         self.key = (file, start, partition)
         self.inside = start == 0  #: a file's first line begins a record
-        self.held: list[str] = []
-        self.edges: list[tuple[str, int, bool]] = []
+        self.held: list[bytes] = []
+        self.edges: list[tuple[bytes, int, bool]] = []
 
     def take(self, lines: pa.Array) -> pa.Array:
         """The records that are whole after these lines."""
@@ -68,21 +68,21 @@ class _Block:
             begin = int(run[-1]) + 1
         return pa.concat_arrays([*parts, lines.slice(begin)])
 
-    def _add(self, line: str, continued: bool) -> str | None:
+    def _add(self, line: bytes, continued: bool) -> bytes | None:
         """The record that ``line`` ends, unless it began before this block."""
         self.held.append(line)
         if continued:
             return None
-        record, self.held = "\n".join(self.held), []
+        record, self.held = b"\n".join(self.held), []
         if self.inside:
             return record
         self.edges.append((record, 0, False))
         self.inside = True
         return None
 
-    def end(self) -> list[tuple[str, int, bool]]:
+    def end(self) -> list[tuple[bytes, int, bool]]:
         if self.held:
-            self.edges.append(("\n".join(self.held), len(self.edges), True))
+            self.edges.append((b"\n".join(self.held), len(self.edges), True))
         return self.edges
 
 
@@ -92,18 +92,18 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(key: tuple, values: pa.Array, place: int, numbers=None, opens=None) -> pa.RecordBatch:
         n = len(values)
         return pa.RecordBatch.from_arrays(
-            [values.cast(pa.string()), pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.int64()),
+            [values.view(pa.string()), pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.int64()),
              pa.array([key[2]] * n, pa.int32()), pa.array([place] * n, pa.int32()),
              pa.array(numbers or [0] * n, pa.int64()), pa.array(opens or [False] * n, pa.bool_())],
             ["value", _FILE, _BLOCK, _PARTITION, "_place", "_number", "_open"])
 
     def ended() -> Iterator[pa.RecordBatch]:
         if block is not None and (edges := block.end()):
-            yield rows(block.key, pa.array([e[0] for e in edges], pa.string()), EDGE,
+            yield rows(block.key, pa.array([e[0] for e in edges], pa.binary()), EDGE,
                        [e[1] for e in edges], [e[2] for e in edges])
 
     for batch in batches:
-        lines, starts, files = batch.column("value"), batch.column(_BLOCK), batch.column(_FILE).dictionary_encode()
+        lines, starts, files = batch.column("value").view(pa.binary()), batch.column(_BLOCK), batch.column(_FILE).dictionary_encode()
         partition = batch.column(_PARTITION)[0].as_py() if len(lines) else 0
         codes, at = files.indices.to_numpy(zero_copy_only=False), starts.to_numpy(zero_copy_only=False)
         changes = np.flatnonzero((np.diff(codes) != 0) | (np.diff(at) != 0)) + 1 if len(lines) else []

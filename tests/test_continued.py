@@ -66,7 +66,7 @@ def test_small_arrow_batches(spark, new_dir):
 
 def test_continued_lines():
     lines = ["", "a", "\\", "\\\\", "\\\\\\", "a\\", "\\a"]
-    assert is_continued(pa.array(lines)).tolist() == [False, False, True, False, True, True, False]
+    assert is_continued(pa.array([x.encode() for x in lines])).tolist() == [False, False, True, False, True, True, False]
 
 
 def test_round_trip(spark, new_dir, blocks_of):
@@ -96,6 +96,19 @@ def test_rejects_of_continued_records(spark, new_dir):
         load(spark, folder, Directory(new_dir()), LoadOptions(continued_lines=True), schema=schema)
 
 
+def test_bytes_that_are_no_text(spark, new_dir):
+    folder, shared = new_dir("in"), new_dir("rejects")
+    os.makedirs(folder)
+    with open(f"{folder}/f", "wb") as f:
+        f.write(b"1,a\xff\\\nb\n2,ok\\\nok\n3,\xc0\x80\n")
+    schema = spark.createDataFrame([], "a int, b string").schema
+    opts, target = LoadOptions(continued_lines=True, max_errors=9, rejects_path=shared), new_dir("target")
+    load(spark, folder, Directory(target), opts, schema=schema)
+    assert [tuple(r) for r in spark.read.parquet(target).collect()] == [(2, "ok\nok")]
+    rejects = spark.read.json(f"{shared}/rejects").collect()
+    assert sorted((r.reason, r.raw[:4]) for r in rejects) == [("invalid_utf8", "1,a\ufffd"), ("invalid_utf8", "3,\ufffd\ufffd")]
+
+
 def test_options():
     with pytest.raises(ValueError, match="LF"):
         LoadOptions(continued_lines=True, record_sep="\x1e")

@@ -10,6 +10,7 @@ from ferryline import (
     rejected, time_field, unload, update_by_key, update_files,
 )
 from ferryline.shared import new_path
+from ferryline.sources.text import read_lines
 from workload.tables import ESCAPED_ENDS, ESCAPED_ENDS_IN, lineitem, money, orders, read
 
 NULLS = LoadOptions(null_string="\\\\N")
@@ -92,6 +93,20 @@ def decode_typed_rejects(spark, sf_dir):
     return rejected(decode(corrupt_lineitem(spark, sf_dir), _ddl(LINEITEM)))
 
 
+def decode_utf8(spark, sf_dir):
+    """Names with planted bytes: some are UTF-8, the others are rejects; through files."""
+    # A lone byte, an overlong form, a cut-off form, a surrogate, a point too high; then two that are right.
+    planted = ("80", "C080", "E282", "EDA080", "F5808080", "C3A9", "F09F9880")
+    path, key = new_path(spark, "text"), F.col("c_custkey")
+    tail = F.get(F.array(*[F.unhex(F.lit(p)) for p in planted]), F.pmod(key, F.lit(9)).cast("int"))
+    line = F.concat(F.concat_ws(",", key, "c_name").cast("binary"), F.coalesce(tail, F.lit(b"")))
+    read(spark, sf_dir, "customer").select(line.cast("string").alias("value")).write.text(path)
+    decoded = decode(read_lines(spark, path), _ddl("c_custkey bigint, c_name string"))
+    right = F.col("_reject_reason").isNull()
+    return decoded.select("c_custkey", F.when(right, F.col("c_name")).alias("c_name"),
+                          F.col("_reject_reason").alias("reason"))
+
+
 def decode_time(spark, sf_dir):
     lines = read(spark, sf_dir, "events").select(
         F.concat_ws(
@@ -311,7 +326,8 @@ def round_trip_styles(spark, sf_dir):
 
 
 LOADS = [
-    decode_fields, decode_nulls, decode_bool, decode_typed, decode_typed_rejects, decode_time,
+    decode_fields, decode_nulls, decode_bool, decode_typed, decode_typed_rejects, decode_utf8,
+    decode_time,
     truncate_varchar, decode_arity, ctrlchars_policy, text_load, record_export,
     utf8_roundtrip, escaped_newline_load, load_lineitem, load_with_budget, rejected_rows, rejects_by_file,
     load_summary, bulk_load_append,
@@ -362,6 +378,12 @@ LOAD_SQL = {
         FROM orders""",
     "decode_typed": _GOOD_LINES,
     "decode_typed_rejects": _BAD_LINES,
+    "decode_utf8": r"""
+        SELECT c_custkey,
+            CASE WHEN c_custkey % 9 >= 5 THEN c_name || CASE c_custkey % 9 WHEN 5 THEN 'é' WHEN 6 THEN '😀' ELSE '' END
+            END AS c_name,
+            CASE WHEN c_custkey % 9 < 5 THEN 'invalid_utf8' END AS reason
+        FROM customer""",
     "decode_time": r"""
         SELECT event_id,
             CASE WHEN event_id % 10 <> 0 THEN strftime(ts, '%H:%M:%S') END AS at,
