@@ -5,10 +5,11 @@ is one, and so is a run of capitalised words (a name). Numbers, numbers with a u
 a number and names become typed placeholders, other words are lower-cased.
 Windows of ``window`` such template words are hashed and joined with the windows of
 the benchmark, so a question whose numbers and names were changed still meets its
-original. For each (row, item) two figures decide: coverage, the share of the item's
-windows found, and slot consistency, the share of the item's slot values that map to
-one value in the row. A verbatim leak maps every value to itself, a re-parameterised
-one to a consistent other value; chance meetings of templates map at random.
+original. Two figures decide for each place where an item aligns with a row: coverage, the share of the item's
+windows found there, and slot consistency, the share of the item's slot values that map to
+one value each, unlike the others'. A verbatim leak maps every value to itself, a re-parameterised
+one to a consistent other value; chance meetings of templates map at random. One
+alignment that reaches both figures is enough, whatever else the row holds.
 
 A capital is all that tells a name, so every text is searched in a second form too, folded
 to lower case with names as plain words: copies in lower case, in capitals or as a title
@@ -31,7 +32,7 @@ rows are judged each for itself; other columns pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.rows import col, numbered, unpacked
@@ -39,6 +40,8 @@ from ferryline.shared import materialize
 
 WINDOW, MIN_LITERALS, MIN_WORDS = 8, 4, 5
 COVERAGE, CONSISTENCY = 0.5, 0.8
+#: Words put in or left out at one place before a row's windows count as another alignment.
+SLIP = 3
 #: Benchmarks with more windows than this are joined by shuffling.
 BROADCAST_WINDOWS = 200_000
 #: Bytes of the bitmap; benchmarks that fill over half of it pass more windows on.
@@ -49,6 +52,8 @@ _WORD = r"[\p{L}\p{N}]++"
 _NAME = r"[\p{Lu}\p{Lt}][\p{L}\p{N}]*+"
 # Possessive throughout: a text in capitals is one long run, and must not recurse.
 _NAMES = rf"{_NAME}(?:(?:[\s\u00a0\-]++|['\u2019]){_NAME})*+"
+#: What lies between words: a run of other characters, but for a single mark between two digits.
+_BETWEEN = r"[^\p{L}\p{N}]++(?<![0-9][.,'\u2019\u00a0\u202f](?=[0-9]))"
 IS_NUMBER = r"^[+\-\u2212.]*[0-9][0-9.,'\u2019\u00a0\u202f]*$"
 # Unit words that follow a number.
 UNITS = ("mm cm m km in ft yd mi g kg mg t lb oz l ml s ms min h hr hrs sec secs second seconds "
@@ -63,9 +68,13 @@ NUMBER, MEASURE, UNIT, NAME = "\x01number", "\x01measure", "\x01unit", "\x01name
 
 
 def words(text: Column, mode: int) -> Column:
-    """Words and values; runs of names are one word in templates."""
+    """Words and values; runs of names are one word in templates.
+
+    Folded texts are split at what lies between words, which is less work than finding words; signs
+    before numbers are not kept there.
+    """
     if mode == FOLDED:
-        return F.regexp_extract_all(F.lower(text), F.lit(rf"{_NUMBER}[\p{{L}}\p{{N}}]*+|{_WORD}"), F.lit(0))
+        return F.array_remove(F.split(F.lower(text), _BETWEEN, -1), "")
     return F.regexp_extract_all(text, F.lit(rf"{_NUMBER}[\p{{L}}\p{{N}}]*+|{_NAMES}|{_WORD}"), F.lit(0))
 
 
@@ -78,20 +87,26 @@ def slot_value(value: Column) -> Column:
                   ).otherwise(F.regexp_extract(value, r"([\p{L}\p{N}]+)$", 1))
 
 
+#: What a number, or a number with a unit, begins with; words begin with letters.
+_DIGIT_FIRST = [*"0123456789+-.\u2212"]
+_JOINT = "\x02"
+
+
 def template(tokens: Column, mode: int) -> Column:
     """The hash of each word's form."""
-    digit = F.lit(r"^[0-9+\-\u2212.]")
+    lowered = tokens if mode == FOLDED else F.when(F.size(tokens) > 0, F.split(
+        F.lower(F.array_join(tokens, _JOINT)), _JOINT, -1)).otherwise(tokens)
 
     def form(w: Column, i: Column) -> Column:
-        first = F.substring(w, 1, 1)
+        first = F.substring(w if mode == FOLDED else F.get(tokens, i), 1, 1)
         after_number = F.when(i > 0, F.get(tokens, i - 1).rlike(IS_NUMBER)).otherwise(False)
-        typed = F.when(F.rlike(first, digit), F.when(w.rlike(IS_NUMBER), NUMBER).otherwise(MEASURE)).when(
-            F.lower(w).isin(UNITS) & after_number, UNIT)
+        typed = F.when(first.isin(_DIGIT_FIRST), F.when(w.rlike(IS_NUMBER), NUMBER).otherwise(MEASURE)).when(
+            w.isin(UNITS) & after_number, UNIT)
         if mode == TEMPLATE:
             typed = typed.when(F.lower(first) != first, NAME)
-        return F.xxhash64(typed.otherwise(F.lower(w)))
+        return F.xxhash64(typed.otherwise(w))
 
-    return F.transform(tokens, form)
+    return F.transform(lowered, form)
 
 
 def window_hash(forms: Column, start: Column, length: int) -> Column:
@@ -187,18 +202,36 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
         F.transform("slots", lambda k: F.struct(
             slot_value(F.get("raw", k)).alias("ours"),
             slot_value(F.lower(F.get("their_raw", k))).alias("theirs"))).alias("pairs"))
-    met = materialize(met, "met")
-    covered = met.select("uid", "item", "item_id", "mode", "windows", "ipos").distinct().groupBy(
-        "uid", "item", "item_id", "mode").agg((F.count(F.lit(1)) / F.first("windows")).alias("coverage"))
-    slots = met.select("uid", "item", "mode", "shift", F.explode("pairs").alias("p")).groupBy(
-        "uid", "item", "mode", "shift", "p.ours").agg(
-        (F.min("p.theirs") == F.max("p.theirs")).cast("double").alias("one"))
-    steady = slots.groupBy("uid", "item", "mode").agg(F.avg("one").alias("consistency"))
-    leaks = covered.where(F.col("coverage") >= coverage).join(steady, ["uid", "item", "mode"], "left").select(
-        "uid", "item", "item_id", "coverage", F.coalesce("consistency", F.lit(1.0)).alias("consistency"))
-    best = leaks.where(F.col("consistency") >= consistency).groupBy("uid", "item", "item_id").agg(
+    return rows, aligned_leaks(materialize(met, "met"), coverage, consistency)
+
+
+def aligned_leaks(met: DataFrame, coverage: float, consistency: float) -> DataFrame:
+    """``(uid, item, item_id, coverage, consistency)`` of the items that leak by one of their alignments.
+
+    Windows of one alignment lie at the same distance from their places in the item, or at one that
+    differs by at most ``SLIP`` words from the next (words put in or left out). An alignment is judged by
+    itself: chance hits elsewhere in the row neither add to it nor speak against it.
+    """
+    by_item = ["uid", "item", "item_id", "mode", "windows"]
+    in_order = Window.partitionBy("uid", "item", "mode").orderBy("shift")
+    apart = F.col("shift") - F.lag("shift").over(in_order) > SLIP
+    starts = met.select(*by_item, "shift").distinct().withColumn(
+        "run", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(in_order))
+    met = met.join(starts.select("uid", "item", "mode", "shift", "run"), ["uid", "item", "mode", "shift"])
+    covered = met.select(*by_item, "run", "ipos").distinct().groupBy("uid", "item", "item_id", "mode", "run").agg(
+        (F.count(F.lit(1)) / F.first("windows")).alias("coverage"))
+    slots = met.select("uid", "item", "mode", "run", F.explode("pairs").alias("p")).groupBy(
+        "uid", "item", "mode", "run", "p.ours").agg(
+        F.when(F.min("p.theirs") == F.max("p.theirs"), F.min("p.theirs")).alias("one"))
+    # Values that share their counterpart with another one count once.
+    steady = slots.groupBy("uid", "item", "mode", "run").agg(
+        (F.count_distinct("one") / F.count(F.lit(1))).alias("consistency"))
+    judged = covered.where(F.col("coverage") >= coverage).join(
+        steady, ["uid", "item", "mode", "run"], "left").withColumn(
+        "consistency", F.coalesce("consistency", F.lit(1.0)))
+    best = judged.where(F.col("consistency") >= consistency).groupBy("uid", "item", "item_id").agg(
         F.max(F.struct("coverage", "consistency")).alias("best"))
-    return rows, best.select("uid", "item", "item_id", "best.coverage", "best.consistency")
+    return best.select("uid", "item", "item_id", "best.coverage", "best.consistency")
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -122,7 +122,7 @@ def test_leaks(spark, docs, empty):
     # "The" and "Quick" differ as names; only the literal form of item 4 is searched.
     kept = decontaminate.decontaminate(table, bench)
     assert kept.columns == table.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id != 5) == [2, 3, 4, 6]
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6]
     assert decontaminate.decontaminate(table, bench.where("false")).count() == 7
     assert decontaminate.decontaminate(empty, bench).count() == 0
 
