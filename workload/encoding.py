@@ -144,6 +144,19 @@ def unload_summary(spark, sf_dir):
     return rejects.groupBy("column", "reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def unload_log(spark, sf_dir):
+    """The one-row log of an unload with rejects."""
+    talk = read(spark, sf_dir, "conversations")
+    shared = new_path(spark, "rejects")
+    opts = UnloadOptions(max_errors=talk.count() + 1, rejects_path=shared)
+    unload(talk, new_path(spark, "unload"), opts)
+    log = spark.read.schema(
+        "rows_read bigint, rows_loaded bigint, rows_rejected bigint, aborted boolean,"
+        " by_reason map<string, bigint>").json(f"{shared}/summary")
+    return log.select("rows_read", "rows_loaded", "rows_rejected", "aborted",
+                      F.col("by_reason")["line_end"].alias("line_end"))
+
+
 def null_safe_eq(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").select(
         F.nullif("l_returnflag", F.lit("N")).alias("a"),
@@ -158,7 +171,8 @@ ENCODINGS = [
     encode_fields, escape_delim, escape_tab_delim, encode_nulls, encode_nulls_row_wise,
     encode_bool, encode_decimal, encode_temporal, encode_char_pad,
     encode_char_too_long, newline_space,
-    unload_rejects, bulk_unload, unload_with_budget, unload_summary, null_safe_eq,
+    unload_rejects, bulk_unload, unload_with_budget, unload_summary, unload_log,
+    null_safe_eq,
 ]
 
 LINEITEM_TEXT = r"""
@@ -238,6 +252,10 @@ ENCODING_SQL = {
     "unload_summary": r"""
         SELECT 'text' AS "column", 'line_end' AS reason, count(*) AS row_count
         FROM conversations WHERE contains(text, chr(10))""",
+    "unload_log": r"""
+        SELECT count(*) AS rows_read, count(*) FILTER (NOT bad) AS rows_loaded,
+               count(*) FILTER (bad) AS rows_rejected, false AS aborted, count(*) FILTER (bad) AS line_end
+        FROM (SELECT contains(text, chr(10)) AS bad FROM conversations)""",
     "null_safe_eq": r"""
         SELECT a, b, a IS NOT DISTINCT FROM b AS same, count(*) AS row_count
         FROM (SELECT nullif(l_returnflag, 'N') AS a,

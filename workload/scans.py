@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from ferryline import bounds, incremental, slice_df
 from ferryline.operators.slices import (
-    exact_row, quantile_cuts, quantile_slice_number, range_slice_number,
+    exact_row, quantile_cuts, quantile_slice_number, range_slice_number, slice_number,
 )
+from ferryline.plans.verified import copy_verified, read_copy
+from ferryline.shared import new_path
 from ferryline.sources.catalog import query_rows, select_rows
+from ferryline.streaming.late import late_batch
 from workload.tables import lineitem, orders, read
 
 QUERY_TEXT = """
@@ -137,6 +140,23 @@ def text_sliced_scan(spark, sf_dir):
         F.bool_and(F.coalesce(F.col("last_name") < F.col("after"), F.lit(True))).alias("disjoint"))
 
 
+def verified_slices(spark, sf_dir):
+    """A copy whose source is another at its first read: only the slices that differ are read again."""
+    rows, reads = orders(spark, sf_dir), []
+
+    def source():
+        reads.append(1)
+        if len(reads) > 1:
+            return rows
+        changed = F.when(F.col("o_orderkey") % 8 == 3, F.lit("?")).otherwise(F.col("o_orderstatus"))
+        return rows.where("o_orderkey % 8 <> 5").withColumn("o_orderstatus", changed)
+
+    path = new_path(spark, "verified")
+    report = copy_verified(spark, source, lambda df: slice_number(df, "o_orderkey", 8), path)
+    repaired = ",".join(map(str, report["repaired"]))
+    return read_copy(spark, path, rows.schema).withColumn("repaired", F.lit(repaired))
+
+
 def incremental_append(spark, sf_dir):
     events = read(spark, sf_dir, "events")
     lo, hi = bounds(events, "event_id").first()
@@ -144,6 +164,20 @@ def incremental_append(spark, sf_dir):
     return rows.select("event_id", "user_id", "event_type", F.lit(mark).cast("bigint").alias("mark"))
 
 
+def incremental_late_rows(spark, sf_dir):
+    """Two runs; every tenth row of the first half arrives after the first run, a quarter of them too late."""
+    events, ledger = read(spark, sf_dir, "events").select("event_id", "event_type"), new_path(spark, "ledger")
+    lo, hi = bounds(events, "event_id").first()
+    middle, look_back = (lo + hi) // 2, (hi - lo) // 4
+    early = events.where((F.col("event_id") <= middle) & (F.col("event_id") % 10 != 3))
+    parts = []
+    for number, arrived in enumerate((early, events)):
+        batch = late_batch(arrived, "event_id", ["event_id"], ledger, look_back)
+        parts.append(batch.rows.select("*", F.lit(number).alias("run"), F.lit(batch.mark).cast("bigint").alias("mark")))
+        batch.commit()
+    return parts[0].unionAll(parts[1])
+
+
 def incremental_lastmodified(spark, sf_dir):
     events = read(spark, sf_dir, "events")
     first = bounds(events, "ts").first()["lo"]
@@ -153,9 +187,9 @@ def incremental_lastmodified(spark, sf_dir):
 
 SCANS = [
     sliced_scan, sliced_scan_signed_keys, hashed_slices, range_sliced_scan,
-    range_sliced_timestamps, quantile_sliced_scan, text_sliced_scan, split_bounds,
+    range_sliced_timestamps, quantile_sliced_scan, text_sliced_scan, verified_slices, split_bounds,
     query_scan, project_columns, select_all, where_filter, slice_and_where_or,
-    incremental_append, incremental_lastmodified,
+    incremental_append, incremental_late_rows, incremental_lastmodified,
 ]
 
 SCAN_SQL = {
@@ -194,6 +228,9 @@ SCAN_SQL = {
         SELECT true AS several, count(*) AS row_count, CAST(sum(p_size) AS BIGINT) AS sizes,
                min(p_name) AS first_name, max(p_name) AS last_name, true AS disjoint
         FROM part""",
+    "verified_slices": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,4)) AS o_totalprice,
+               o_orderdate, o_orderpriority, '3,5' AS repaired FROM orders""",
     "split_bounds": "SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders",
     "query_scan": QUERY_TEXT.format(orders="orders", lineitem="lineitem"),
     "project_columns": "SELECT l_shipdate, l_returnflag, l_orderkey FROM lineitem",
@@ -208,6 +245,15 @@ SCAN_SQL = {
         WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events)
         SELECT event_id, user_id, event_type, hi AS mark
         FROM events, b WHERE event_id > (lo + hi) // 2""",
+    "incremental_late_rows": """
+        WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+        early AS (
+            SELECT event_id, event_type FROM events, b WHERE event_id <= (lo + hi) // 2 AND event_id % 10 <> 3),
+        first AS (SELECT max(event_id) AS mark FROM early)
+        SELECT event_id, event_type, 0 AS run, mark FROM early, first
+        UNION ALL
+        SELECT event_id, event_type, 1, hi FROM events, b, first
+        WHERE event_id > mark - (hi - lo) // 4 AND event_id NOT IN (SELECT event_id FROM early)""",
     "incremental_lastmodified": """
         WITH b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events)
         SELECT event_id, ts, hi AS mark FROM events, b WHERE ts > lo""",
