@@ -158,48 +158,57 @@ LINES_SQL = """
         GROUP BY s.doc_id)
     SELECT doc_id, n_lines, n_removed, sha256(body) AS kept_sha256 FROM kept"""
 
+#: The schedule slot by slot, for tables whose sources all are scheduled by themselves.
 MIX_SQL = f"""
     WITH RECURSIVE counts AS (
         SELECT source AS src, count(*) AS n FROM documents GROUP BY source),
     weighed AS (
-        SELECT src, n, row_number() OVER (ORDER BY src NULLS FIRST) AS rank,
-               CAST(floor(sqrt(n) * 1000) AS BIGINT) AS w, count(*) OVER () AS k FROM counts),
-    dealt AS (
-        SELECT src, n, rank, 1 + ({mixing.PERIOD} - k) * w // CAST(sum(w) OVER () AS BIGINT) AS base,
-               ({mixing.PERIOD} - k) * w % CAST(sum(w) OVER () AS BIGINT) AS rest FROM weighed),
-    shares AS (
-        SELECT src, n, rank, CAST(base + CASE WHEN row_number() OVER (ORDER BY rest DESC, rank)
-               <= {mixing.PERIOD} - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS share FROM dealt),
-    table_of AS (SELECT list(share ORDER BY rank) AS s FROM shares),
+        SELECT src, row_number() OVER (ORDER BY coalesce('=' || src, '')) AS rank,
+               (n + {mixing.BLOCK_DOCS} - 1) // {mixing.BLOCK_DOCS} AS blocks,
+               CAST(floor(sqrt(n) * 1000) AS BIGINT) AS w FROM counts),
+    table_of AS (
+        SELECT list(blocks ORDER BY rank) AS nb, list(w ORDER BY rank) AS w,
+               list(CAST(0 AS BIGINT)) AS zeros, range(1, count(*) + 1) AS ids FROM weighed),
     sched AS (
-        SELECT -1 AS t, list_transform(s, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS pick, s
+        SELECT 0 AS phase, 0 AS t, 0 AS slot, zeros AS done, zeros AS d, zeros AS share, CAST(NULL AS BIGINT) AS pick
         FROM table_of
         UNION ALL
-        SELECT t + 1, list_transform(done, lambda d, i: d + CASE WHEN i = best THEN 1 ELSE 0 END), best, s
+        SELECT phase + CAST(fresh AS INTEGER), CASE WHEN fresh THEN 0 ELSE t + 1 END,
+               CASE WHEN fresh THEN slot ELSE slot + 1 END,
+               CASE WHEN fresh THEN done ELSE list_transform(done, lambda x, i: x + CAST(i = best AS BIGINT)) END,
+               CASE WHEN fresh THEN zeros ELSE list_transform(d, lambda x, i: x + CAST(i = best AS BIGINT)) END,
+               CASE WHEN NOT fresh THEN share ELSE list_transform(base, lambda x, i: x + CAST(rest[i] >= 0 AND
+                   len(list_filter(ids, lambda j: rest[j] > rest[i] OR rest[j] = rest[i] AND j < i))
+                   < {mixing.PERIOD} - list_sum(base) AS BIGINT)) END,
+               CASE WHEN fresh THEN NULL ELSE best END
         FROM (
-            SELECT t, done, s, list_min(list_filter(list_transform(range(1, len(s) + 1), lambda i:
-                CASE WHEN done[i] * {mixing.PERIOD} < (t + 2) * s[i]
-                THEN {{'d': ((done[i] + 1) * {mixing.PERIOD} + s[i] - 1) // s[i], 'i': i}} END),
-                lambda x: x IS NOT NULL)).i AS best
-            FROM sched WHERE t + 1 < {mixing.PERIOD})),
+            SELECT *, best IS NULL OR done[best] = nb[best] AS fresh,
+                   list_transform(ids, lambda i: CASE WHEN done[i] < nb[i] THEN
+                       greatest(1, {mixing.PERIOD - 1} * w[i] // w_all) ELSE 0 END) AS base,
+                   list_transform(ids, lambda i: CASE WHEN done[i] < nb[i] THEN
+                       {mixing.PERIOD - 1} * w[i] % w_all ELSE -1 END) AS rest
+            FROM (
+                SELECT *, list_min(list_filter(list_transform(ids, lambda i:
+                           CASE WHEN d[i] * {mixing.PERIOD} < (t + 1) * share[i]
+                           THEN {{'d': ((d[i] + 1) * {mixing.PERIOD} + share[i] - 1) // share[i], 'i': i}} END),
+                           lambda x: x IS NOT NULL)).i AS best,
+                       CAST(list_sum(list_transform(ids, lambda i:
+                           CASE WHEN done[i] < nb[i] THEN w[i] ELSE 0 END)) AS BIGINT) AS w_all
+                FROM sched, table_of)
+            WHERE w_all > 0)),
     places AS (
-        SELECT pick AS rank, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS j, t AS at
-        FROM sched WHERE t >= 0),
-    blocks AS (
-        SELECT s.*, (n + {mixing.BLOCK_DOCS} - 1) // {mixing.BLOCK_DOCS} AS nb FROM shares s),
-    horizon AS (
-        SELECT min(nb // share * {mixing.PERIOD} + p.at) AS h
-        FROM blocks b JOIN places p ON b.rank = p.rank AND nb % share = p.j),
+        SELECT pick AS rank, done[pick] - 1 AS block, slot - 1 AS slot, slot - t AS start,
+               d[pick] - 1 AS b, share[pick] AS share, phase
+        FROM sched WHERE pick IS NOT NULL),
     ranked AS (
         SELECT doc_id, source, (row_number() OVER (PARTITION BY source
                ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1) // {mixing.BLOCK_DOCS} AS block FROM documents)
-    SELECT r.doc_id, r.source, s.share, r.block,
-           r.block * {mixing.PERIOD} // s.share AS release,
-           ((r.block + 1) * {mixing.PERIOD} + s.share - 1) // s.share AS deadline,
-           r.block // s.share * {mixing.PERIOD} + p.at AS slot,
-           r.block // s.share * {mixing.PERIOD} + p.at < (SELECT h FROM horizon) AS in_mix
-    FROM ranked r JOIN shares s ON r.source IS NOT DISTINCT FROM s.src
-    JOIN places p ON p.rank = s.rank AND p.j = r.block % s.share"""
+    SELECT r.doc_id, r.source, p.share, p.phase, r.block,
+           p.start + p.b * {mixing.PERIOD} // p.share AS release,
+           p.start + ((p.b + 1) * {mixing.PERIOD} + p.share - 1) // p.share AS deadline,
+           CAST(p.slot AS BIGINT) AS slot, true AS in_mix
+    FROM ranked r JOIN weighed s ON r.source IS NOT DISTINCT FROM s.src
+    JOIN places p ON p.rank = s.rank AND p.block = r.block"""
 
 
 def _leaf_sql(text: str) -> str:

@@ -99,14 +99,30 @@ def lines_removed(rows, window=3):
     return out
 
 
-def pfair(shares, period):
-    """Source of each slot of a period: earliest deadline first among released blocks."""
-    done, order = {s: 0 for s in shares}, []
-    for t in range(period):
-        best = min((-(-(done[s] + 1) * period // p), s) for s, p in shares.items() if done[s] * period // p <= t)[1]
-        done[best] += 1
-        order.append(best)
-    return order
+def pfair(sources, period):
+    """``(source, phase, block, slot)``, slot by slot; ``sources`` has (blocks, weight) by source."""
+    done, out, phase = {s: 0 for s in sources}, [], 0
+    while True:
+        live = [s for s in sources if sources[s][0] > done[s]]
+        live = [s for s in live if sources[s][1]] or live
+        if not live:
+            return out
+        phase += 1
+        whole = sum(sources[s][1] for s in live)
+        share = {s: max(1, (period - 1) * sources[s][1] // whole) if whole else period for s in live}
+        rest = sorted((-((period - 1) * sources[s][1] % max(whole, 1)), s) for s in live)
+        for _, s in rest[:max(0, period - sum(share.values()))]:
+            share[s] += 1
+        now, t = {s: 0 for s in live}, 0
+        while True:
+            ready = [s for s in live if now[s] * period < (t + 1) * share[s]]
+            best = min((-(-(now[s] + 1) * period // share[s]), s) for s in ready)[1]
+            if done[best] == sources[best][0]:
+                break
+            out.append((best, phase, done[best], len(out)))
+            now[best] += 1
+            done[best] += 1
+            t += 1
 
 
 def log_words(text):

@@ -47,24 +47,12 @@ def test_line_windows_that_overlap_themselves(docs):
 def test_mixing(rows, empty):
     out = mixing.mix(rows, block_docs=1)
     assert out.columns == ["doc_id", "text", *["source", *EXTRA], *mixing.ADDED]
+    assert sorted(r.slot for r in out.collect()) == list(range(len(ROWS)))
     assert out.count() == len(ROWS) and mixing.mix(empty).count() == 0
     assert {r.source for r in out.collect()} == {"s", None}
     assert mixing.mix(out, block_docs=1).columns == out.columns
 
 
-def test_period_schedule_is_earliest_deadline_first(spark):
-    shares = {1: 7, 2: 3, 3: 1, 4: 5}
-    table = spark.createDataFrame(list(shares.items()), "rank long, share long")
-    got = {r.at: r.rank for r in mixing.period_schedule(table, 16).collect()}
-    assert [got[t] for t in range(16)] == brute.pfair(shares, 16)
-
-
-def test_too_many_sources(spark):
-    many = spark.range(mixing.MAX_SOURCES + 1).selectExpr("id AS doc_id", "string(id) AS source")
-    with pytest.raises(ValueError, match="sources"):
-        mixing.mix(many)
-
-
 def test_secrets(docs, empty):
     value = "Zk3PqX9vLm2RtY7bWc5NdH8s"
     texts = [(1, None), (2, ""), (3, f"token = {value}", "own"), (3, f"token = {value}", "own"), (5, "secret: token = abcdefgh"),

@@ -79,15 +79,17 @@ def test_secrets(result, table):
 
 
 def test_mix_deviation(result):
-    rows = [r for r in result("op4_pfair_mixing") if r["in_mix"]]
-    share = {r["source"]: r["share"] for r in rows}
-    blocks = {(r["slot"], r["source"]) for r in rows}
-    assert sorted(s for s, _ in blocks) == list(range(len(blocks)))  # one block in each slot
-    done = Counter()
-    for slot, source in sorted(blocks):
-        done[source] += 1
-        for s, p in share.items():
-            assert abs(done[s] - (slot + 1) * p / 1024) < 1
+    rows = result("op4_pfair_mixing")
+    blocks = sorted({(r["slot"], r["source"], r["phase"], r["share"]) for r in rows})
+    assert all(r["in_mix"] and r["release"] <= r["slot"] < r["deadline"] for r in rows)
+    assert [b[0] for b in blocks] == list(range(len(blocks)))  # one block in each slot
+    for phase in {b[2] for b in blocks}:
+        own = [b for b in blocks if b[2] == phase]
+        share, done = {b[1]: b[3] for b in own}, Counter()
+        for t, (_, source, _, _) in enumerate(own):
+            done[source] += 1
+            for s, p in share.items():
+                assert abs(done[s] - (t + 1) * p / 1024) < 1
 
 
 def test_toxicity(result, table):
