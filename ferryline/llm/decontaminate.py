@@ -44,7 +44,7 @@ COVERAGE, CONSISTENCY = 0.5, 0.8
 SLIP = 3
 #: Benchmarks with more windows than this are joined by shuffling.
 BROADCAST_WINDOWS = 200_000
-#: Bytes of the bitmap; benchmarks that fill over half of it pass more windows on.
+#: Buckets of the bitmap, a bit each; benchmarks that fill over half of it pass more windows on.
 BITMAP = 1 << 19
 
 _NUMBER = r"(?:(?<![\p{L}\p{N}])[+\-\u2212]?\.?)?[0-9]++(?:[.,'\u2019\u00a0\u202f][0-9]++)*+"
@@ -146,12 +146,21 @@ def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, window: int
         "benchmark")
 
 
-def _bitmap(index: DataFrame) -> bytes:
-    """A byte for each hash bucket, 1 where the benchmark has a window."""
-    bits = bytearray(BITMAP)
+def _bitmap(index: DataFrame) -> Column:
+    """Longs with a bit for each hash bucket, set where the benchmark has a window.
+
+    A literal of a byte a bucket would stand in every printed plan, which the driver keeps.
+    """
+    longs = [0] * (BITMAP // 64)
     for (bucket,) in index.select(F.pmod("hash", F.lit(BITMAP))).distinct().collect():
-        bits[bucket] = 1
-    return bytes(bits)
+        longs[bucket >> 6] |= 1 << (bucket & 63)
+    signed = ",".join(str(x - (1 << 64) if x >> 63 else x) for x in longs)
+    return F.split(F.lit(signed), ",").cast("array<bigint>")
+
+
+def _is_set(bits: Column, hashed: Column) -> Column:
+    bucket = F.pmod(hashed, F.lit(BITMAP))
+    return F.getbit(F.get(bits, F.shiftright(bucket, 6).cast("int")), bucket.bitwiseAND(63).cast("int")) == 1
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
@@ -166,15 +175,13 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
         sizes[mode].append(size)
     n = index.count()
     small = n <= BROADCAST_WINDOWS
-    bitmaps = {m: F.lit(_bitmap(index.where(F.col("mode") == m))) for m in sizes if sizes[m]} if small else {}
+    bitmaps = {m: _bitmap(index.where(F.col("mode") == m)) for m in sizes if sizes[m]} if small else {}
 
     def hits(forms: Column, raw: Column, mode: int, size: int) -> Column:
         bits = bitmaps.get(mode)
         places = F.when(F.size(forms) >= size, F.sequence(F.lit(0), F.size(forms) - F.lit(size)))
         if bits is not None:
-            places = F.filter(places, lambda i: F.substring(
-                bits, F.pmod(window_hash(forms, i, size), F.lit(BITMAP)).cast("int") + 1, F.lit(1)
-            ) == F.lit(b"\x01"))
+            places = F.filter(places, lambda i: _is_set(bits, window_hash(forms, i, size)))
         return F.coalesce(F.transform(places, lambda i: F.struct(
             F.lit(mode).alias("mode"), i.alias("pos"), F.lit(size).alias("size"), window_hash(forms, i, size).alias("hash"),
             F.slice(forms, i + 1, F.lit(size)).alias("forms"),
