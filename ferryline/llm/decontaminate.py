@@ -21,7 +21,7 @@ own length. Items under ``min_words`` words are matched exactly, all words in a
 case; templates of so few words are not searched, as they would meet anything.
 
 The windows of a text stay inside its row: a bitmap of the benchmark's hashes (built
-from the benchmark alone, of fixed size) drops nearly all before anything is exploded,
+from the benchmark alone, a few hundred KB at most) drops nearly all before anything is exploded,
 and the rest joins the benchmark on the full hash. The benchmark's windows are
 broadcast only when their counted number is under ``BROADCAST_WINDOWS``.
 
@@ -44,8 +44,9 @@ COVERAGE, CONSISTENCY = 0.5, 0.8
 SLIP = 3
 #: Benchmarks with more windows than this are joined by shuffling.
 BROADCAST_WINDOWS = 200_000
-#: Bytes of the bitmap; benchmarks that fill over half of it pass more windows on.
-BITMAP = 1 << 19
+#: Bits of the bitmap for each window, and the least and most words of 64 bits as powers of two. Benchmarks
+#: of over 65,536 windows fill more of the largest one and pass more windows on.
+BITS_PER_WINDOW, LEAST_WORDS, MOST_WORDS = 64, 10, 16
 
 _NUMBER = r"(?:(?<![\p{L}\p{N}])[+\-\u2212]?\.?)?[0-9]++(?:[.,'\u2019\u00a0\u202f][0-9]++)*+"
 _WORD = r"[\p{L}\p{N}]++"
@@ -146,12 +147,26 @@ def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, window: int
         "benchmark")
 
 
-def _bitmap(index: DataFrame) -> bytes:
-    """A byte for each hash bucket, 1 where the benchmark has a window."""
-    bits = bytearray(BITMAP)
-    for (bucket,) in index.select(F.pmod("hash", F.lit(BITMAP))).distinct().collect():
-        bits[bucket] = 1
-    return bytes(bits)
+class Bitmap:
+    """A bit for each bucket of hashes, set where the benchmark has a window.
+
+    The leading bits of a hash choose the word, the last six its bit. It is one constant array in the
+    plan, of at most ``2 ** MOST_WORDS`` words whatever the benchmark.
+    """
+
+    def __init__(self, index: DataFrame, windows: int):
+        self.power = min(max((windows * BITS_PER_WINDOW >> 6).bit_length(), LEAST_WORDS), MOST_WORDS)
+        words = [0] * (1 << self.power)
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("hash").bitwiseAND(F.lit(63)).cast("int"))
+        for place, bits in index.groupBy(self._word(F.col("hash"))).agg(F.bit_or(bit)).collect():
+            words[place] = bits
+        self.words = F.split(F.lit(",".join(map(str, words))), ",", -1).cast("array<bigint>")
+
+    def _word(self, value: Column) -> Column:
+        return F.shiftrightunsigned(value, 64 - self.power).cast("int")
+
+    def has(self, value: Column) -> Column:
+        return F.getbit(F.get(self.words, self._word(value)), value.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
@@ -166,16 +181,14 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text",
         sizes[mode].append(size)
     n = index.count()
     small = n <= BROADCAST_WINDOWS
-    bitmaps = {m: F.lit(_bitmap(index.where(F.col("mode") == m))) for m in sizes if sizes[m]} if small else {}
+    bitmaps = {m: Bitmap(index.where(F.col("mode") == m), n) for m in sizes if sizes[m]}
 
     def hits(forms: Column, raw: Column, mode: int, size: int) -> Column:
-        bits = bitmaps.get(mode)
         places = F.when(F.size(forms) >= size, F.sequence(F.lit(0), F.size(forms) - F.lit(size)))
-        if bits is not None:
-            places = F.filter(places, lambda i: F.substring(
-                bits, F.pmod(window_hash(forms, i, size), F.lit(BITMAP)).cast("int") + 1, F.lit(1)
-            ) == F.lit(b"\x01"))
-        return F.coalesce(F.transform(places, lambda i: F.struct(
+        # Hashes are made once for all windows, and again for the few that pass.
+        hashes = F.transform(places, lambda i: window_hash(forms, i, size))
+        kept = F.array_compact(F.transform(hashes, lambda h, i: F.when(bitmaps[mode].has(h), i)))
+        return F.coalesce(F.transform(kept, lambda i: F.struct(
             F.lit(mode).alias("mode"), i.alias("pos"), F.lit(size).alias("size"), window_hash(forms, i, size).alias("hash"),
             F.slice(forms, i + 1, F.lit(size)).alias("forms"),
             F.slice(raw, i + 1, F.lit(size)).alias("raw"))), F.array())

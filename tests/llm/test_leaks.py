@@ -67,3 +67,13 @@ def test_verbatim_items_of_the_test_table(spark):
     texts = {r.doc_id: folded(r.text) for r in docs.collect()}
     for i in found - holds:
         assert any(tuple(texts[i][k:k + 5]) in grams for k in range(len(texts[i]) - 4))
+
+
+def test_bitmaps_of_any_size_find_the_same(spark, docs, monkeypatch):
+    """Two words of bits, nearly all set, and a benchmark that is joined by shuffling."""
+    texts = [ITEM, ITEM.upper(), "x " * 9, f"a {ITEM} b", "", "give the apples away in the box you take later if you like"]
+    found = kept(spark, docs, [ITEM, "why"], *texts, "Why not")
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "LEAST_WORDS", 1)
+    monkeypatch.setattr(decontaminate, "MOST_WORDS", 1)
+    assert kept(spark, docs, [ITEM, "why"], *texts, "Why not") == found == [2, 4, 5]
