@@ -14,9 +14,9 @@ Texts that are equal word for word are one class before anything else; only one
 each takes part in banding. In every band bucket all members are compared with one
 leader, the member that shares most buckets, so proposals grow with the members, not
 their square. Links merge into classes. The members of buckets that are then still of
-several classes are compared in blocks: members are dealt into blocks of bounded size,
-each pair of blocks is one bounded group, and a product of its 0/1 matrices counts all shared
-shingles; only a spanning set of links leaves the group. So every proposed pair of
+several classes are compared in blocks: members of the largest class and the others are dealt into blocks
+of bounded size, each pair of blocks but those of the largest class alone is one bounded group, and a product of
+its 0/1 matrices counts all shared shingles; only links that merge classes leave the group. So every proposed pair of
 different texts is decided, unless both ends already are in one class.
 
 Results for odd input: NULL and empty texts (no words) are equal texts, one class; a
@@ -166,8 +166,9 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return met.where(shared >= F.lit(similarity) * union).select("a", "b")
 
 
-def links_in_blocks(names: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """A spanning set of the links among the members of two blocks."""
+def links_in_blocks(names: np.ndarray, known: np.ndarray, sets: list[np.ndarray],
+                    similarity: float) -> list[tuple[int, int]]:
+    """Links that merge the ``known`` classes of the members of two blocks, under one for each class."""
     n, sizes = len(names), np.array([len(x) for x in sets])
     values, where = np.unique(np.concatenate(sets), return_inverse=True)
     member = np.repeat(np.arange(n), sizes)
@@ -181,6 +182,8 @@ def links_in_blocks(names: np.ndarray, sets: list[np.ndarray], similarity: float
         shared += holds @ holds.T
     shared = shared.astype(np.float64)
     near = shared >= similarity * (sizes[:, None] + sizes[None, :] - shared)
+    _, first, known = np.unique(known, return_index=True, return_inverse=True)
+    near |= known[:, None] == known[None, :]
     label = np.arange(n)
     while True:
         lower = np.where(near, label[None, :], n).min(axis=1)
@@ -189,7 +192,7 @@ def links_in_blocks(names: np.ndarray, sets: list[np.ndarray], similarity: float
         if (lower == label).all():
             break
         label = lower
-    return [(int(names[k]), int(names[i])) for i, k in enumerate(label.tolist()) if k != i]
+    return [(int(names[label[i]]), int(names[i])) for i in first.tolist() if known[label[i]] != known[i]]
 
 
 def classes_of(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -208,17 +211,25 @@ def classes_of(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     # A bucket is settled when the rest of its members are of one class.
     rest = materialize(led.join(labels, F.col("uid") == F.col("id"), "left").select(
         "bucket", "uid", F.coalesce("label", "uid").alias("label")), "rest")
-    mixed = rest.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where(
-        "low < high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    # In others, members of the largest class are compared with the members outside it only.
+    counted = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counted.groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")).where(
+        "labels > 1").select("bucket", F.col("top.label").alias("top"),
+                             F.ceil(F.col("top.n") / BLOCK).cast("int").alias("of_top"),
+                             F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("of_rest"))
+    in_top, place = F.col("label") == F.col("top"), F.xxhash64("uid")
     opened = rest.join(mixed, "bucket").select(
-        "bucket", "uid", "blocks", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("own"))
-    dealt = opened.select("bucket", "uid", "own", F.explode(
-        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "bucket", "uid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        "bucket", "uid", "label",
+        F.when(in_top, F.pmod(place, F.col("of_top"))).otherwise(
+            F.col("of_top") + F.pmod(place, F.col("of_rest"))).cast("int").alias("own"),
+        F.explode(F.sequence(F.when(in_top, F.col("of_top")).otherwise(0),
+                             F.col("of_top") + F.col("of_rest") - 1)).alias("other"))
+    dealt = opened.select(
+        "bucket", "uid", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        found = links_in_blocks(group["uid"].to_numpy(), [np.asarray(x) for x in group["shingles"]], similarity)
+        found = links_in_blocks(group["uid"].to_numpy(), group["label"].to_numpy(), [np.asarray(x) for x in group["shingles"]], similarity)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     more = materialize(dealt.join(sets.select("uid", "shingles"), "uid").groupBy("bucket", "i", "j").applyInPandas(
