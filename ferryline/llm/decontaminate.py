@@ -21,7 +21,7 @@ own length. Items under ``min_words`` words are matched exactly, all words in a
 case; templates of so few words are not searched, as they would meet anything.
 
 The windows of a text stay inside its row: a bitmap of the benchmark's hashes (built
-from the benchmark alone, a few hundred KB at most) drops nearly all before anything is exploded,
+from the benchmark alone, half a MB for each form at most) drops nearly all before anything is exploded,
 and the rest joins the benchmark on the full hash. The benchmark's windows are
 broadcast only when their counted number is under ``BROADCAST_WINDOWS``.
 
