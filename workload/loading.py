@@ -230,12 +230,12 @@ def rejected_rows(spark, sf_dir):
 
 
 def rejects_by_file(spark, sf_dir):
-    """Rejects of two files; each tells its file, where the task's block began, and the partition."""
+    """Rejects of two folders of files; each tells its file, where the task's block began, and the partition."""
     path, target, shared = new_path(spark, "text"), new_path(spark, "target"), new_path(spark, "rejects")
     lines = corrupt_lineitem(spark, sf_dir)
     is_first = F.substring_index("value", ",", 1).try_cast("bigint") % 2 == 0
-    lines.where(F.coalesce(is_first, F.lit(True))).coalesce(1).write.text(f"{path}/first")
-    lines.where(~F.coalesce(is_first, F.lit(True))).coalesce(1).write.text(f"{path}/second")
+    lines.where(F.coalesce(is_first, F.lit(True))).write.text(f"{path}/first")
+    lines.where(~F.coalesce(is_first, F.lit(True))).write.text(f"{path}/second")
     opts = LoadOptions(max_errors=lines.count() + 1, rejects_path=shared)
     load(spark, f"{path}/*", Directory(target), opts, schema=_ddl(LINEITEM))
     rejects = spark.read.schema(
