@@ -77,3 +77,23 @@ def test_bitmaps_of_any_size_find_the_same(spark, docs, monkeypatch):
     monkeypatch.setattr(decontaminate, "LEAST_WORDS", 1)
     monkeypatch.setattr(decontaminate, "MOST_WORDS", 1)
     assert kept(spark, docs, [ITEM, "why"], *texts, "Why not") == found == [2, 4, 5]
+
+
+def test_what_rows_met_is_never_broadcast(spark, docs, monkeypatch):
+    """Stored rows are many times larger than their files, which are all that Spark knows of them."""
+    plans, store = [], decontaminate.materialize
+
+    def planned(df, purpose, *more):
+        if purpose == "met":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, purpose, *more)
+
+    monkeypatch.setattr(decontaminate, "materialize", planned)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    texts = [f"{ITEM} {k}" for k in range(20)] + ["x"]
+    bench = spark.createDataFrame([(0, ITEM)], "item_id bigint, text string")
+    _, leaks = decontaminate.find_leaks(docs(*enumerate(texts)), bench)
+    plans.append(leaks._jdf.queryExecution().executedPlan().toString())
+    assert [(r.item_id, r.coverage) for r in leaks.collect()] == [(0, 1.0)] * 20
+    plans.append(leaks._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and not any("Broadcast" in plan for plan in plans)
